@@ -19,8 +19,14 @@ from forecastry.operators.profile import min_max
 from forecastry.schema import SCALED_COLUMN
 
 
-def scale_expr(df: DataFrame, column: str = "sales", out: str = SCALED_COLUMN) -> DataFrame:
-    lo, hi = min_max(df, column)
+def scale_expr(
+    df: DataFrame,
+    column: str = "sales",
+    out: str = SCALED_COLUMN,
+    bounds: tuple[float, float] | None = None,
+) -> DataFrame:
+    """``bounds`` = (min, max) when a profile pass already produced them."""
+    lo, hi = bounds if bounds is not None else min_max(df, column)
     if lo is None:
         raise ValueError(f"cannot scale {column!r}: it has no non-null values")
     lo, hi = float(lo), float(hi)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
 from forecastry.schema import RAW_COLUMNS
-from forecastry.session import scratch_path
+from forecastry.session import materialize, scratch_path
 from forecastry.sources import read_raw_sales, write_csv
 from forecastry.sources import tables
 
@@ -174,7 +174,7 @@ def random_split(spark, sf):
 
 def _model_data(spark, sf):
     feats = features.demand_features(_imputed(spark, sf))
-    data = model.assemble(feats, keep_keys=True)
+    data = materialize(model.assemble(feats, keep_keys=True), "model-input")
     return split.random_split(data, (0.7, 0.3), 42)  # R2
 
 

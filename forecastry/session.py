@@ -66,3 +66,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back.
+
+    One computation of ``df``; later passes (model fits, ``randomSplit``'s two
+    samples) read stable files, so their rows do not depend on recomputation
+    after a lost executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

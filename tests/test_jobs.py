@@ -1,0 +1,78 @@
+"""The batch jobs end to end on a raw CSV built from the sf0.001 tables."""
+
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from forecastry.plans import jobs
+from forecastry.schema import RAW_COLUMNS
+from forecastry.sources import tables
+from conftest import SMOKE
+
+
+@pytest.fixture(scope="module")
+def zones(spark):
+    root = tempfile.mkdtemp(prefix="fc-zones-")
+    raw = os.path.join(root, "raw", "base_sales.csv")
+    holes = tables.holes(spark, SMOKE)
+    holes.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS]).write.option("header", "true").csv(raw)
+    return {k: os.path.join(root, k) for k in ("processed", "training", "eda", "features", "predictions", "models")} | {
+        "raw": raw, "n": holes.count(), "nulls": holes.filter(F.col("sales").isNull()).count()}
+
+
+def test_ingest_explore_features_train(spark, zones):
+    stats = jobs.ingest(spark, zones["raw"], zones["processed"], zones["training"], zones["eda"])
+    assert stats["n_rows"] == zones["n"] and stats["nulls_sales"] == zones["nulls"]
+    processed = spark.read.parquet(zones["processed"])
+    assert processed.filter(F.col("sales").isNull()).count() == 0
+    lo, hi = processed.agg(F.min("sales_scaled_value"), F.max("sales_scaled_value")).first()
+    assert (lo, hi) == (0.0, 1.0)
+    tr = spark.read.option("header", "true").csv(os.path.join(zones["training"], "train.csv")).count()
+    te = spark.read.option("header", "true").csv(os.path.join(zones["training"], "test.csv")).count()
+    assert tr + te == zones["n"]
+    eda = jobs.explore(spark, zones["processed"], zones["eda"])
+    assert eda["nulls_sales"] == 0
+    monthly = spark.read.option("header", "true").csv(os.path.join(zones["eda"], "monthly_sales"))
+    assert monthly.columns == ["year", "month", "total_sales"]
+    jobs.build_features(spark, zones["processed"], zones["features"])
+    feats = spark.read.parquet(zones["features"])
+    assert feats.count() == zones["n"] and "rolling_avg_7" in feats.columns
+    rmse = jobs.train(spark, zones["features"], zones["predictions"], zones["models"], forest="light")
+    assert set(rmse) == {"linear_regression", "random_forest"} and all(v > 0 for v in rmse.values())
+    preds = spark.read.parquet(zones["predictions"])
+    assert {"actual_sales", "predicted_sales"} <= set(preds.columns)
+    assert os.path.isdir(os.path.join(zones["models"], "random_forest_model"))
+
+
+def test_ingest_scaling_equals_ml_route(spark, zones):
+    a = os.path.join(tempfile.mkdtemp(prefix="fc-a-"), "p")
+    b = os.path.join(tempfile.mkdtemp(prefix="fc-b-"), "p")
+    jobs.ingest(spark, zones["raw"], a, scale_method="expr")
+    jobs.ingest(spark, zones["raw"], b, scale_method="ml")
+    cols = ["store", "item", "date", "sales", "sales_scaled_value"]
+    assert sorted(spark.read.parquet(a).select(cols).collect()) == sorted(spark.read.parquet(b).select(cols).collect())
+
+
+def test_ingest_v1_keeps_text(spark, zones):
+    root = tempfile.mkdtemp(prefix="fc-v1-")
+    jobs.ingest_v1(spark, zones["raw"], os.path.join(root, "processed"), os.path.join(root, "training"), split_mode="hash")
+    out = spark.read.parquet(os.path.join(root, "processed"))
+    assert set(t for _, t in out.dtypes) == {"string"}
+    assert out.count() == zones["n"] - zones["nulls"]
+
+
+def test_status_report(spark):
+    rep = jobs.status_report(tables.run_log(spark, SMOKE), tables.jobs(spark, SMOKE), tables.artefacts(spark, SMOKE))
+    assert rep["jobs"].count() == tables.jobs(spark, SMOKE).count()
+    assert rep["artefacts"].count() == 5
+
+
+def test_naive_profile_agrees_with_one_pass(spark):
+    from forecastry.operators import profile
+    holes = tables.holes(spark, SMOKE)
+    naive = jobs.naive_profile(holes)
+    one = profile.profile(holes).first()
+    assert naive["sales"] == one["nulls_sales"]
+    assert naive["corr_store_sales"] == pytest.approx(one["corr_store_sales"], rel=1e-9)

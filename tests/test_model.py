@@ -1,0 +1,102 @@
+import os
+import tempfile
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from forecastry.operators import clean, features, model, split
+from forecastry.schema import FEATURE_COLUMNS
+from forecastry.session import materialize
+from forecastry.sources import load_model, save_model, tables
+from conftest import SMOKE
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    feats = features.demand_features(clean.impute_mean(tables.holes(spark, SMOKE)))
+    d = materialize(model.assemble(feats, keep_keys=True), "t-model")
+    return split.random_split(d, (0.7, 0.3), 42)
+
+
+@pytest.fixture(scope="module")
+def fitted(data):
+    train, _ = data
+    return model.fit_linear(train), model.fit_forest(train, "light")
+
+
+def test_assemble_shape(data):
+    train, _ = data
+    assert train.columns == ["store", "item", "date", "features", "label"]
+    assert dict(train.dtypes)["label"] == "float"
+    assert len(train.first()["features"]) == len(FEATURE_COLUMNS)
+
+
+def test_linear_matches_least_squares(data, fitted):
+    train, _ = data
+    lr, _ = fitted
+    pdf = train.select(vector_to_array("features").alias("x"), "label").toPandas()
+    X = np.vstack(pdf["x"].to_numpy())
+    y = pdf["label"].to_numpy(dtype=float)
+    A = np.hstack([X, np.ones((len(X), 1))])
+    coef, *_ = np.linalg.lstsq(A, y, rcond=None)
+    assert np.allclose(lr.coefficients.toArray(), coef[:-1], rtol=1e-6, atol=1e-7)
+    assert lr.intercept == pytest.approx(coef[-1], rel=1e-6, abs=1e-7)
+
+
+def test_rmse_equals_evaluator(data, fitted):
+    _, test = data
+    for m in fitted:
+        pred = m.transform(test)
+        assert model.rmse(pred).first()["rmse"] == pytest.approx(model.rmse_evaluator(pred), rel=1e-12)
+
+
+def test_compare_models_one_pass(data, fitted):
+    _, test = data
+    lr, rf = fitted
+    out = {r["model"]: r["rmse"] for r in model.compare_models({"lr": lr, "rf": rf}, test).collect()}
+    assert out["lr"] == pytest.approx(model.rmse_evaluator(lr.transform(test)), rel=1e-12)
+    assert out["rf"] == pytest.approx(model.rmse_evaluator(rf.transform(test)), rel=1e-12)
+
+
+def test_forest_beats_constant_predictor(data, fitted):
+    _, test = data
+    _, rf = fitted
+    sd = test.agg(F.stddev_pop("label")).first()[0]
+    assert model.rmse(rf.transform(test)).first()["rmse"] < sd
+
+
+def test_score_renames_and_keeps_keys(data, fitted):
+    _, test = data
+    out = model.score(fitted[1], test, as_arrays=True)
+    assert {"store", "item", "date", "actual_sales", "predicted_sales"} <= set(out.columns)
+    assert dict(out.dtypes)["features"] == "array<double>"
+    assert out.count() == test.count()
+
+
+def test_save_load_same_predictions(data, fitted):
+    _, test = data
+    root = tempfile.mkdtemp(prefix="fc-models-")
+    for kind, m in zip(("linear", "forest"), fitted):
+        p = os.path.join(root, kind)
+        save_model(m, p)
+        again = load_model(kind, p)
+        a = m.transform(test).select("prediction").collect()
+        b = again.transform(test).select("prediction").collect()
+        assert a == b
+
+
+def test_tuned_forest_preset(data):
+    train, test = data
+    rf = model.fit_forest(train, "tuned")
+    assert rf.getNumTrees == 100 and rf.getOrDefault("maxDepth") == 12
+    assert model.rmse(rf.transform(test)).first()["rmse"] >= 0
+
+
+def test_null_feature_fails_unless_skipped(spark):
+    df = spark.createDataFrame([(1, 1, 2013, 1, 1, None, 0.0, 1.0, 3.0)],
+                               "store int, item int, year int, month int, day_of_week int, lag_1 float, lag_7 float, rolling_avg_7 double, sales float")
+    with pytest.raises(Exception):
+        model.assemble(df).collect()
+    assert model.assemble(df, handle_invalid="skip").count() == 0
