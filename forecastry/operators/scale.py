@@ -13,6 +13,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecastry.functions.vectors import first_element
 from forecastry.operators.profile import min_max
@@ -58,3 +59,29 @@ def minmax_scale(df: DataFrame, column: str = "sales", out: str = SCALED_COLUMN,
     if method == "ml":
         return scale_ml(df, column, out)
     raise ValueError(f"unknown scaling method {method!r}")
+
+
+def impute_then_scale(df: DataFrame, column: str = "sales", out: str = SCALED_COLUMN) -> DataFrame:
+    """N2 + M3 with ONE statistics pass.
+
+    Mean, min, max and the missing count come from one aggregate; the bounds
+    of the imputed column follow from them (the fill value joins the range only
+    when something was filled), so no second pass over the data is needed.
+    """
+    import numpy as np
+
+    from forecastry.functions.casts import nan_to_null
+    from forecastry.operators.clean import impute_mean
+
+    c = nan_to_null(F.col(column))
+    row = df.agg(
+        F.avg(c).alias("mean"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.count_if(c.isNull()).alias("missing")
+    ).first()
+    if row["mean"] is None:
+        raise ValueError(f"cannot impute {column!r}: it has no non-null values")
+    mean = float(row["mean"])
+    filled = float(np.float32(mean)) if isinstance(df.schema[column].dataType, T.FloatType) else mean
+    lo, hi = float(row["lo"]), float(row["hi"])
+    if row["missing"]:
+        lo, hi = min(lo, filled), max(hi, filled)
+    return scale_expr(impute_mean(df, column, mean=mean), column, out, bounds=(lo, hi))

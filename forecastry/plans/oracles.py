@@ -105,6 +105,7 @@ FROM (
 
 ORACLES: dict[str, str] = {
     "typed_from_csv": HOLED + 'SELECT "date", store, item, sales FROM holes',
+    "typed_from_csv_stream": HOLED + 'SELECT "date", store, item, sales FROM holes',
     "drop_missing": HOLED + "SELECT * FROM holes WHERE sales IS NOT NULL",
     "missing_counts": HOLED
     + f"""SELECT {_nulls("store")} AS store, {_nulls("item")} AS item,

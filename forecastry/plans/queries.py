@@ -18,6 +18,7 @@ from forecastry.schema import RAW_COLUMNS
 from forecastry.session import materialize, scratch_path
 from forecastry.sources import read_raw_sales, write_csv
 from forecastry.sources import tables
+from forecastry.streaming import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +36,15 @@ def _holes(spark, sf):
     return tables.holes(spark, sf)
 
 
+def _holes_table(spark, sf):
+    """The holed panel written once to the shared scratch folder: later passes
+    (the mean, then the output) read it instead of re-aggregating lineitem, and
+    the mean pass reads one column."""
+    return materialize(_holes(spark, sf), "holes")
+
+
 def _imputed(spark, sf):
-    return clean.impute_mean(_holes(spark, sf))
+    return clean.impute_mean(_holes_table(spark, sf))
 
 
 def _round_all(df: DataFrame, digits: int, skip=()) -> DataFrame:
@@ -54,6 +62,16 @@ def typed_from_csv(spark, sf):
     return clean.typed_sales(read_raw_sales(spark, path))
 
 
+def typed_from_csv_stream(spark, sf):
+    """S1 + P1 + S3 incrementally: the CSV files ingested by a file stream."""
+    root = scratch_path(spark, "stream")
+    raw, out = f"{root}/raw", f"{root}/processed"
+    as_text = _holes(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    write_csv(as_text, raw)
+    ingest_stream(spark, raw, out, f"{root}/checkpoint")
+    return spark.read.parquet(out)
+
+
 def drop_missing(spark, sf):
     """N1."""
     return clean.drop_missing(_holes(spark, sf))
@@ -75,8 +93,8 @@ def minmax_scale(spark, sf):
 
 
 def minmax_scale_expr(spark, sf):
-    """A8 + M3 as plain expressions (no vector column)."""
-    return scale.minmax_scale(_imputed(spark, sf), method="expr")
+    """N2 + A8 + M3 as plain expressions: one statistics pass, no vector column."""
+    return scale.impute_then_scale(_holes_table(spark, sf))
 
 
 # ---- explore -------------------------------------------------------------
@@ -101,6 +119,16 @@ def sales_profile(spark, sf):
     )
 
 
+def describe_parity(spark, sf):
+    """A3 parity: Spark's string-valued ``describe`` table of sales, store, item."""
+    return profile.describe(_holes(spark, sf), ["sales", "store", "item"])
+
+
+def sample_rows(spark, sf):
+    """Five rows for inspection (unordered, as ``show`` gives them)."""
+    return summaries.sample_rows(_holes(spark, sf), 5)
+
+
 def monthly_sales(spark, sf):
     """F1 + F2 + A4 + O1."""
     return summaries.monthly_sales(_panel(spark, sf))
@@ -217,6 +245,7 @@ def latest_artifact(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "typed_from_csv": typed_from_csv,
+    "typed_from_csv_stream": typed_from_csv_stream,
     "drop_missing": drop_missing,
     "missing_counts": missing_counts,
     "mean_impute": mean_impute,
@@ -224,6 +253,8 @@ QUERIES: dict[str, Query] = {
     "minmax_scale_expr": minmax_scale_expr,
     "describe_sales": describe_sales,
     "sales_profile": sales_profile,
+    "describe_parity": describe_parity,
+    "sample_rows": sample_rows,
     "monthly_sales": monthly_sales,
     "store_avg": store_avg,
     "item_sales": item_sales,

@@ -31,3 +31,17 @@ def test_ml_route_has_no_python_udf(spark):
     out = scale.minmax_scale(frame(spark, [1, 2]), method="ml")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan
+
+
+def test_impute_then_scale_equals_two_step(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (7.0,), (float("nan"),), (4.5,)], "sales float")
+    from forecastry.operators import clean
+    a = sorted(scale.impute_then_scale(df).collect())
+    b = sorted(scale.minmax_scale(clean.impute_mean(df), method="ml").collect())
+    assert a == b
+
+
+def test_impute_then_scale_fill_outside_range(spark):
+    # every present value equal: the fill value equals them, range is constant -> 0.5
+    df = spark.createDataFrame([(3.0,), (None,), (3.0,)], "sales float")
+    assert [r["sales_scaled_value"] for r in scale.impute_then_scale(df).collect()] == [0.5, 0.5, 0.5]
