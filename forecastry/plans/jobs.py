@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
+from forecastry.session import ensure_parallelism
 from forecastry.sources import read_parquet, read_raw_sales, save_model, write_csv, write_parquet
 
 
@@ -128,7 +129,9 @@ def train(
 ) -> dict[str, float]:
     """Training job: 70/30 split, least squares + forest, RMSE of both (one
     scoring pass), forest predictions written, both models saved."""
-    data = model.assemble(read_parquet(spark, features_path), keep_keys=keep_keys, handle_invalid=handle_invalid)
+    data = model.assemble(
+        ensure_parallelism(read_parquet(spark, features_path)), keep_keys=keep_keys, handle_invalid=handle_invalid
+    )
     train_df, test_df = _split(data, (0.7, 0.3), seed, split_mode)
     train_df = train_df.persist()
     try:

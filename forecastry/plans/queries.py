@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
 from forecastry.schema import RAW_COLUMNS
-from forecastry.session import materialize, scratch_path
+from forecastry.session import ensure_parallelism, materialize, scratch_path
 from forecastry.sources import read_raw_sales, write_csv
 from forecastry.sources import tables
 from forecastry.streaming import ingest_stream
@@ -190,10 +190,10 @@ def cutoff_split_test(spark, sf):
 def random_split(spark, sf):
     """80/20 ``randomSplit`` (seed 42), every row labelled with its side.
 
-    Both samples read one shuffle output (Spark reuses the exchange), so the
-    two sides are disjoint and together complete.
+    The split samples a written table, so both sides see one fixed layout:
+    disjoint and together complete, even if a partition is recomputed.
     """
-    train, test = split.random_split(_panel(spark, sf), (0.8, 0.2), 42)
+    train, test = split.random_split(materialize(_panel(spark, sf), "panel"), (0.8, 0.2), 42)
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
@@ -202,7 +202,7 @@ def random_split(spark, sf):
 
 def _model_data(spark, sf):
     feats = features.demand_features(_imputed(spark, sf))
-    data = materialize(model.assemble(feats, keep_keys=True), "model-input")
+    data = ensure_parallelism(materialize(model.assemble(feats, keep_keys=True), "model-input"))
     return split.random_split(data, (0.7, 0.3), 42)  # R2
 
 

@@ -80,3 +80,16 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df, minimum: int | None = None):
+    """Spread a small input over at least ``defaultParallelism`` partitions.
+
+    For CPU-heavy consumers (model fits) on inputs that AQE or file packing
+    left in a handful of partitions.  On a large input this is a no-op, so it
+    never adds a shuffle at scale.
+    """
+    want = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
