@@ -63,6 +63,7 @@ def ingest(
     """
     typed = clean.typed_sales(read_raw_sales(spark, raw_path))
     stats = profile.profile(typed).first().asDict()  # pass 1: every statistic at once
+    stats["dtypes"] = typed.dtypes  # P7: driver metadata, no job
     if stats["sales_count"] == 0:
         raise ValueError("cannot impute 'sales': it has no non-null values")
     mean = float(stats["sales_mean"])
@@ -103,8 +104,11 @@ def write_summaries(df: DataFrame, eda_path: str) -> dict[str, DataFrame]:
 def explore(spark: SparkSession, processed_path: str, eda_path: str) -> dict:
     """EDA job: one profile pass, one cube pass, three ordered CSV summaries."""
     df = read_parquet(spark, processed_path)
-    df = df.select(*[c for c in ("store", "item", "date", "sales") if c in df.columns])
-    stats = profile.profile(df, null_as_zero=True).first().asDict()
+    # null counts of every column, typed stats of sales, correlations with the
+    # stat.corr null rule; the cube below reads only the four columns it needs
+    stats = profile.profile(df, stats_of=("sales",), null_as_zero=True).first().asDict()
+    stats["dtypes"] = df.dtypes
+    stats["sample"] = [r.asDict() for r in summaries.sample_rows(df, 5).collect()]
     write_summaries(df, eda_path)
     return stats
 
@@ -126,7 +130,7 @@ def train(
     split_mode: str = "random",
     keep_keys: bool = False,
     handle_invalid: str = "error",
-) -> dict[str, float]:
+) -> dict:
     """Training job: 70/30 split, least squares + forest, RMSE of both (one
     scoring pass), forest predictions written, both models saved."""
     data = model.assemble(
@@ -139,11 +143,13 @@ def train(
         rf = model.fit_forest(train_df, forest)
     finally:
         train_df.unpersist()
-    rmse = {r["model"]: r["rmse"] for r in model.compare_models({"linear_regression": lr, "random_forest": rf}, test_df).collect()}
+    compared = model.compare_models({"linear_regression": lr, "random_forest": rf}, test_df)
+    report = {r["model"]: r["rmse"] for r in compared.collect()}
     write_parquet(model.score(rf, test_df), predictions_path)
+    report["sample_predictions"] = [r.asDict() for r in read_parquet(spark, predictions_path).limit(5).collect()]
     save_model(lr, os.path.join(models_path, "linear_regression_model"))
     save_model(rf, os.path.join(models_path, "random_forest_model"))
-    return rmse
+    return report
 
 
 def status_report(runs: DataFrame, jobs: DataFrame, listing: DataFrame) -> dict[str, DataFrame]:

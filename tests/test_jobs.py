@@ -33,14 +33,16 @@ def test_ingest_explore_features_train(spark, zones):
     te = spark.read.option("header", "true").csv(os.path.join(zones["training"], "test.csv")).count()
     assert tr + te == zones["n"]
     eda = jobs.explore(spark, zones["processed"], zones["eda"])
-    assert eda["nulls_sales"] == 0
+    assert eda["nulls_sales"] == 0 and eda["nulls_sales_scaled_value"] == 0
+    assert ("sales_scaled_value", "float") in eda["dtypes"] and len(eda["sample"]) == 5
     monthly = spark.read.option("header", "true").csv(os.path.join(zones["eda"], "monthly_sales"))
     assert monthly.columns == ["year", "month", "total_sales"]
     jobs.build_features(spark, zones["processed"], zones["features"])
     feats = spark.read.parquet(zones["features"])
     assert feats.count() == zones["n"] and "rolling_avg_7" in feats.columns
     rmse = jobs.train(spark, zones["features"], zones["predictions"], zones["models"], forest="light")
-    assert set(rmse) == {"linear_regression", "random_forest"} and all(v > 0 for v in rmse.values())
+    assert rmse["linear_regression"] > 0 and rmse["random_forest"] > 0
+    assert len(rmse["sample_predictions"]) == 5
     preds = spark.read.parquet(zones["predictions"])
     assert {"actual_sales", "predicted_sales"} <= set(preds.columns)
     assert os.path.isdir(os.path.join(zones["models"], "random_forest_model"))
@@ -76,3 +78,21 @@ def test_naive_profile_agrees_with_one_pass(spark):
     one = profile.profile(holes).first()
     assert naive["sales"] == one["nulls_sales"]
     assert naive["corr_store_sales"] == pytest.approx(one["corr_store_sales"], rel=1e-9)
+
+
+def test_command_line(spark, zones):
+    from forecastry.__main__ import main
+    root = tempfile.mkdtemp(prefix="fc-cli-")
+    p = os.path.join(root, "processed")
+    out = main(["ingest", "--raw", zones["raw"], "--processed", p, "--split-mode", "hash",
+                "--training", os.path.join(root, "training")], spark=spark)
+    assert out["n_rows"] == zones["n"]
+    main(["features", "--processed", p, "--features", os.path.join(root, "features"), "--partition-by", "year"], spark=spark)
+    assert os.path.isdir(os.path.join(root, "features", "year=1992")) or len(os.listdir(os.path.join(root, "features"))) > 1
+    runs = os.path.join(root, "runs")
+    tables.run_log(spark, SMOKE).write.parquet(runs)
+    tables.jobs(spark, SMOKE).write.parquet(os.path.join(root, "jobs"))
+    tables.artefacts(spark, SMOKE).write.parquet(os.path.join(root, "listing"))
+    main(["status", "--runs", runs, "--jobs", os.path.join(root, "jobs"), "--listing", os.path.join(root, "listing"),
+          "--out", os.path.join(root, "status")], spark=spark)
+    assert spark.read.parquet(os.path.join(root, "status", "artefacts")).count() == 5
