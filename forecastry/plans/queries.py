@@ -201,9 +201,10 @@ def random_split(spark, sf):
 
 
 def _model_data(spark, sf):
-    feats = features.demand_features(_imputed(spark, sf))
-    data = ensure_parallelism(materialize(model.assemble(feats, keep_keys=True), "model-input"))
-    return split.random_split(data, (0.7, 0.3), 42)  # R2
+    """Features written once (scalar columns: cheaper to encode than vectors),
+    then assembled on read; the 70/30 split samples that fixed layout."""
+    feats = ensure_parallelism(materialize(features.demand_features(_imputed(spark, sf)), "features"))
+    return split.random_split(model.assemble(feats, keep_keys=True), (0.7, 0.3), 42)  # R2
 
 
 def linear_forecast(spark, sf):

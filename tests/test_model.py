@@ -15,9 +15,8 @@ from conftest import SMOKE
 
 @pytest.fixture(scope="module")
 def data(spark):
-    feats = features.demand_features(clean.impute_mean(tables.holes(spark, SMOKE)))
-    d = materialize(model.assemble(feats, keep_keys=True), "t-model")
-    return split.random_split(d, (0.7, 0.3), 42)
+    feats = materialize(features.demand_features(clean.impute_mean(tables.holes(spark, SMOKE))), "t-model")
+    return split.random_split(model.assemble(feats, keep_keys=True), (0.7, 0.3), 42)
 
 
 @pytest.fixture(scope="module")
