@@ -26,6 +26,4 @@ def calendar_columns(date_col: str = "date", dow_name: str = "day_of_week") -> d
 
 def month_start(year_col: str | Column = "year", month_col: str | Column = "month") -> Column:
     """First day of the month, so monthly totals sit on a real time axis."""
-    return F.make_date(F.col(year_col) if isinstance(year_col, str) else year_col,
-                       F.col(month_col) if isinstance(month_col, str) else month_col,
-                       F.lit(1))
+    return F.make_date(F.col(year_col), F.col(month_col), F.lit(1))

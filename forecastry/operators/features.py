@@ -26,7 +26,11 @@ def series_window():
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
-    """One row per (store, item, date), duplicate rows summed."""
+    """One row per (store, item, date), duplicate rows summed.
+
+    Only the key and ``sales`` survive (other columns have no single value
+    per key).  The partial aggregate combines repeats before the shuffle.
+    """
     return df.groupBy(*KEY_COLUMNS).agg(F.sum("sales").cast("float").alias("sales"))
 
 

@@ -114,9 +114,22 @@ def explore(spark: SparkSession, processed_path: str, eda_path: str) -> dict:
 
 
 def build_features(spark: SparkSession, processed_path: str, features_path: str,
-                   leak_free: bool = False, partition_by: list[str] | None = None) -> None:
-    """Feature job: calendar, lag and rolling features (one Window), Parquet out."""
-    feats = features.demand_features(read_parquet(spark, processed_path), leak_free=leak_free)
+                   leak_free: bool = False, partition_by: list[str] | None = None,
+                   unique_keys: str = "trust") -> None:
+    """Feature job: calendar, lag and rolling features (one Window), Parquet out.
+
+    ``unique_keys="trust"`` (the reference's behaviour) takes one row per
+    (store, item, date) as given.  ``"sum"`` first collapses repeated keys with
+    a partially aggregated group-by (X12), which keeps every window partition
+    within one row per day even if an input repeats a key across a third of
+    its rows.
+    """
+    df = read_parquet(spark, processed_path)
+    if unique_keys == "sum":
+        df = features.daily_totals(df)
+    elif unique_keys != "trust":
+        raise ValueError(f"unique_keys must be 'trust' or 'sum', not {unique_keys!r}")
+    feats = features.demand_features(df, leak_free=leak_free)
     write_parquet(feats, features_path, partition_by=partition_by)
 
 

@@ -96,3 +96,19 @@ def test_command_line(spark, zones):
     main(["status", "--runs", runs, "--jobs", os.path.join(root, "jobs"), "--listing", os.path.join(root, "listing"),
           "--out", os.path.join(root, "status")], spark=spark)
     assert spark.read.parquet(os.path.join(root, "status", "artefacts")).count() == 5
+
+
+def test_features_unique_keys_sum(spark, zones):
+    root = tempfile.mkdtemp(prefix="fc-uk-")
+    raw = spark.read.option("header", "true").csv(zones["raw"])
+    p = os.path.join(root, "processed")
+    from forecastry.operators import clean
+    typed = clean.impute_mean(clean.typed_sales(raw))
+    typed.unionByName(typed.limit(50)).write.parquet(p)  # 50 repeated keys
+    out = os.path.join(root, "features")
+    jobs.build_features(spark, p, out, unique_keys="sum")
+    feats = spark.read.parquet(out)
+    assert feats.count() == zones["n"]
+    assert feats.groupBy("store", "item", "date").count().filter("count > 1").count() == 0
+    with pytest.raises(ValueError):
+        jobs.build_features(spark, p, out, unique_keys="bogus")
