@@ -47,3 +47,13 @@ def test_cutoff_split(spark):
     train, test = split.cutoff_split(panel, "1998-01-01")
     assert train.agg(F.max("date")).first()[0] < test.agg(F.min("date")).first()[0]
     assert train.count() + test.count() == panel.count()
+
+
+def test_cutoff_filter_reaches_the_parquet_scan(spark):
+    plan = split.cutoff_split(tables.panel(spark, SMOKE), "2000-01-01")[1]._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
+
+
+def test_panel_scan_reads_only_needed_columns(spark):
+    plan = tables.panel(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
