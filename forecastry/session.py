@@ -47,9 +47,9 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and hand-over tables.
 
-    Reads ``spark.checkpoint.dir`` (or an already set checkpoint dir); only
-    when neither is set (local runs) is a fresh temporary folder created and
-    registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` (or an already set checkpoint dir).  Only a
+    ``local[...]`` session without one gets a fresh temporary folder (tests);
+    on a cluster a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +57,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder: scratch tables must be visible to every executor"
+            )
         conf_dir = tempfile.mkdtemp(prefix="forecastry-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

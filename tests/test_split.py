@@ -57,3 +57,10 @@ def test_cutoff_filter_reaches_the_parquet_scan(spark):
 def test_panel_scan_reads_only_needed_columns(spark):
     plan = tables.panel(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_scratch_folder_comes_from_the_session(spark):
+    from forecastry.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    assert root == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(root)
