@@ -1,28 +1,26 @@
 """Run and artefact status: J1-J3 (re-aimed from a single-process report).
 
-"Latest per group" is an aggregate, not a window: ``max``/``min`` over a
-struct whose leading fields are the ordering keys.  A hash aggregate runs
-partial-then-final, so a job (or prefix) that owns a third of all rows is
-reduced to one row per task before the shuffle, and no task ever sorts or
-buffers a whole group.
+"Latest per group" is ``row_number() = 1`` over the group's ordering.  Spark
+plans it as a ``WindowGroupLimit`` that runs *partially on the map side*
+before the shuffle (then finally after it), so a job or prefix that owns a
+third of all rows leaves each map task as a single row: no task ever ships
+or buffers a whole hot group.  The ordering is a plain sort specification,
+so mixed directions (newest time, lowest key) need no value tricks and are
+independent of the session time zone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from forecastry.schema import NO_RUNS, NOT_AVAILABLE
 
 
-
-def _micros(df: DataFrame, ts: str):
-    """Microseconds since the epoch for a date, timestamp or timestamp_ntz column."""
-    dtype = df.schema[ts].dataType
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(F.col(ts))
-    return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', CAST(`{ts}` AS TIMESTAMP_NTZ))")
+def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int = 1) -> DataFrame:
+    """The first ``k`` rows of each group under ``order`` (ties broken by it)."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 
 def latest_run(runs: DataFrame, job="job", ts="started_on", tie="run_id") -> DataFrame:
@@ -30,19 +28,18 @@ def latest_run(runs: DataFrame, job="job", ts="started_on", tie="run_id") -> Dat
 
     Runs with a null start time lose to any timed run.
     """
-    payload = [c for c in runs.columns if c not in (job, ts, tie)]
-    best = F.max(F.struct(F.col(ts), F.col(tie), *[F.col(c) for c in payload])).alias("_r")
-    return runs.groupBy(job).agg(best).select(job, f"_r.{ts}", f"_r.{tie}", *[f"_r.{c}" for c in payload])
+    return top_per_group(runs, [job], [F.desc_nulls_last(ts), F.desc_nulls_last(tie)])
 
 
 def job_status(jobs: DataFrame, runs: DataFrame, job="job") -> DataFrame:
     """Every job, with its latest run or ``"No Runs Found"``.
 
     A run without a status reads ``"N/A"``; start time and run time stay
-    typed (null when there is no run).  The latest-run aggregate is already
-    hash-partitioned on ``job``, so the left join shuffles only ``jobs``.
+    typed (null when there is no run).  The latest-run side has one row per
+    job and is hash-partitioned on ``job`` already, so the left join shuffles
+    only ``jobs`` (or broadcasts the small side when Spark's size check allows).
     """
-    latest = latest_run(runs, job=job).withColumn("_has_run", F.lit(True))
+    latest = latest_run(runs, job=job).select(job, "status", "started_on", "exec_seconds", F.lit(True).alias("_has_run"))
     status = (
         F.when(F.col("_has_run").isNull(), F.lit(NO_RUNS))
         .otherwise(F.coalesce(F.col("status"), F.lit(NOT_AVAILABLE)))
@@ -55,11 +52,8 @@ def job_status(jobs: DataFrame, runs: DataFrame, job="job") -> DataFrame:
 def latest_artifact(listing: DataFrame, prefix="prefix", key="key", ts="last_modified") -> DataFrame:
     """Newest object per prefix; on equal times the lowest key wins.
 
-    Prefixes with no object are simply absent.  The newest-first order is a
-    ``min`` over (null flag, -micros since epoch, key).
+    Objects without a time lose to any timed one; prefixes with no object are
+    simply absent.
     """
-    neg_us = -_micros(listing, ts)
-    best = F.min(F.struct(F.col(ts).isNull(), neg_us, F.col(key), F.col(ts))).alias("_a")
-    return listing.groupBy(prefix).agg(best).select(
-        prefix, F.col("_a").getField(key).alias(key), F.col("_a").getField(ts).alias(ts)
-    )
+    out = top_per_group(listing, [prefix], [F.desc_nulls_last(ts), F.asc_nulls_last(key)])
+    return out.select(prefix, key, ts)

@@ -52,7 +52,20 @@ def test_latest_artifact_with_timestamp_ltz(spark):
     assert status.latest_artifact(df).first()["key"] == 2
 
 
-def test_latest_is_an_aggregate_not_a_window(spark):
-    plan = status.latest_run(runs(spark))._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    assert "partial_max" in plan
+def _partial_limit_before_shuffle(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # printed top-down: the final limit, the exchange, then the map-side partial limit
+    return plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit") and "Partial" in plan
+
+
+def test_latest_keeps_one_row_per_group_map_side(spark):
+    assert _partial_limit_before_shuffle(status.latest_run(runs(spark)))
+    listing = spark.createDataFrame([("p", 1, T0)], ARTEFACT_SCHEMA)
+    assert _partial_limit_before_shuffle(status.latest_artifact(listing))
+
+
+def test_top_per_group_k(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 5)], "g string, v int")
+    from pyspark.sql import functions as F
+    out = sorted((r["g"], r["v"]) for r in status.top_per_group(df, ["g"], [F.desc("v")], k=2).collect())
+    assert out == [("a", 2), ("a", 3), ("b", 5)]
