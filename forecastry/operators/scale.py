@@ -9,13 +9,16 @@ same values, including 0.5 for a constant column (X9).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecastry.functions.casts import nan_to_null
 from forecastry.functions.vectors import first_element
+from forecastry.operators.clean import impute_mean
 from forecastry.operators.profile import min_max
 from forecastry.schema import SCALED_COLUMN
 
@@ -68,11 +71,6 @@ def impute_then_scale(df: DataFrame, column: str = "sales", out: str = SCALED_CO
     of the imputed column follow from them (the fill value joins the range only
     when something was filled), so no second pass over the data is needed.
     """
-    import numpy as np
-
-    from forecastry.functions.casts import nan_to_null
-    from forecastry.operators.clean import impute_mean
-
     c = nan_to_null(F.col(column))
     row = df.agg(
         F.avg(c).alias("mean"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.count_if(c.isNull()).alias("missing")
@@ -80,8 +78,16 @@ def impute_then_scale(df: DataFrame, column: str = "sales", out: str = SCALED_CO
     if row["mean"] is None:
         raise ValueError(f"cannot impute {column!r}: it has no non-null values")
     mean = float(row["mean"])
-    filled = float(np.float32(mean)) if isinstance(df.schema[column].dataType, T.FloatType) else mean
-    lo, hi = float(row["lo"]), float(row["hi"])
-    if row["missing"]:
+    bounds = imputed_bounds(row["lo"], row["hi"], mean, row["missing"], df.schema[column].dataType)
+    return scale_expr(impute_mean(df, column, mean=mean), column, out, bounds=bounds)
+
+
+def imputed_bounds(lo, hi, mean: float, missing: int, dtype) -> tuple[float, float]:
+    """Min/max of a column after mean imputation, from its pre-imputation
+    min/max: the fill value (the mean, in the column's type) joins the range
+    only when something was filled."""
+    filled = float(np.float32(mean)) if isinstance(dtype, T.FloatType) else mean
+    lo, hi = float(lo), float(hi)
+    if missing:
         lo, hi = min(lo, filled), max(hi, filled)
-    return scale_expr(impute_mean(df, column, mean=mean), column, out, bounds=(lo, hi))
+    return lo, hi

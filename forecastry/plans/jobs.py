@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import os
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,11 +68,9 @@ def ingest(
     mean = float(stats["sales_mean"])
     imputed = clean.impute_mean(typed, mean=mean)
     if scale_method == "expr":
-        filled = float(np.float32(mean))  # the value imputation writes
-        lo, hi = float(stats["sales_min"]), float(stats["sales_max"])
-        if stats["nulls_sales"] > 0:
-            lo, hi = min(lo, filled), max(hi, filled)
-        processed = scale.scale_expr(imputed, bounds=(lo, hi))
+        bounds = scale.imputed_bounds(stats["sales_min"], stats["sales_max"], mean, stats["nulls_sales"],
+                                      typed.schema["sales"].dataType)
+        processed = scale.scale_expr(imputed, bounds=bounds)
     else:
         processed = scale.minmax_scale(imputed, method=scale_method)
     write_parquet(processed, processed_path)  # pass 2
