@@ -34,6 +34,9 @@ def hash_split(df: DataFrame, train_pct: int = 80, keys=KEY_COLUMNS) -> tuple[Da
 
 
 def cutoff_split(df: DataFrame, cutoff: str, date_col: str = "date") -> tuple[DataFrame, DataFrame]:
-    """X11 opt-in: train on dates before ``cutoff``, test on the rest."""
-    d = F.col(date_col)
-    return df.filter(d < F.lit(cutoff).cast("date")), df.filter(d >= F.lit(cutoff).cast("date"))
+    """X11 opt-in: train on dates before ``cutoff``, test on the rest.
+
+    Rows without a date go to the test side, so together the sides keep every row.
+    """
+    d, c = F.col(date_col), F.lit(cutoff).cast("date")
+    return df.filter(d < c), df.filter((d >= c) | d.isNull())

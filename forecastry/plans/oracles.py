@@ -142,7 +142,7 @@ FROM holes""",
     + """SELECT * FROM panel
 WHERE CAST('0x' || substr(md5(CAST(store AS VARCHAR) || '|' || CAST(item AS VARCHAR) || '|'
                               || CAST("date" AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80""",
-    "cutoff_split_test": SALES + """SELECT * FROM panel WHERE "date" >= DATE '2000-01-01'""",
+    "cutoff_split_test": SALES + """SELECT * FROM panel WHERE "date" >= DATE '2000-01-01' OR "date" IS NULL""",
     "latest_run": LATEST_RUN,
     "job_status": f"""
 WITH latest AS ({LATEST_RUN})
