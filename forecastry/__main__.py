@@ -18,6 +18,7 @@ import os
 import sys
 
 from forecastry.plans import jobs
+from forecastry.schema import SEED
 from forecastry.session import get_session
 from forecastry.sources import read_parquet, write_parquet
 
@@ -25,7 +26,7 @@ from forecastry.sources import read_parquet, write_parquet
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="forecastry")
     sub = p.add_subparsers(dest="cmd", required=True)
-    common = {"--seed": {"type": int, "default": 42}, "--split-mode": {"choices": ["random", "hash"], "default": "random"}}
+    common = {"--seed": {"type": int, "default": SEED}, "--split-mode": {"choices": ["random", "hash"], "default": "random"}}
 
     a = sub.add_parser("ingest")
     for k in ("--raw", "--processed"):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from forecastry.functions.calendar import calendar_columns
 from forecastry.operators.clean import fill_zero
-from forecastry.schema import HISTORY_COLUMNS, KEY_COLUMNS
+from forecastry.schema import HISTORY_COLUMNS, KEY_COLUMNS, LONG_LAG, ROLLING_ROWS, SHORT_LAG
 
 
 def series_window():
@@ -41,10 +41,13 @@ def history_columns(leak_free: bool = False) -> dict:
     ``leak_free=True`` averages the 7 rows before it instead.
     """
     w = series_window()
-    frame = w.rowsBetween(-7, -1) if leak_free else w.rowsBetween(-6, Window.currentRow)
+    if leak_free:
+        frame = w.rowsBetween(-ROLLING_ROWS, -1)
+    else:
+        frame = w.rowsBetween(-(ROLLING_ROWS - 1), Window.currentRow)
     return {
-        "lag_1": F.lag("sales", 1).over(w),
-        "lag_7": F.lag("sales", 7).over(w),
+        "lag_1": F.lag("sales", SHORT_LAG).over(w),
+        "lag_7": F.lag("sales", LONG_LAG).over(w),
         "rolling_avg_7": F.avg("sales").over(frame),
     }
 

@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecastry.schema import KEY_COLUMNS
+from forecastry.schema import INGEST_SPLIT, KEY_COLUMNS, SEED
 
 HASH_BUCKETS = 100
 
 
-def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[DataFrame]:
+def random_split(df: DataFrame, weights=INGEST_SPLIT, seed: int = SEED) -> list[DataFrame]:
     """R1 (0.8/0.2) and R2 (0.7/0.3)."""
     return df.randomSplit(list(weights), seed)
 

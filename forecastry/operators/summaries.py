@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecastry.functions.calendar import month_start
+from forecastry.schema import TOP_ITEMS
 
 
 def with_year_month(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -47,7 +48,7 @@ def item_sales(df: DataFrame) -> DataFrame:
     )
 
 
-def top_items(df: DataFrame, k: int = 10) -> DataFrame:
+def top_items(df: DataFrame, k: int = TOP_ITEMS) -> DataFrame:
     """O3 + F5: the k best-selling items, item id as a text label.
 
     Sort and limit stay adjacent so Spark plans ``TakeOrderedAndProject``

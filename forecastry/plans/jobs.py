@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
+from forecastry.schema import INGEST_SPLIT, MODEL_SPLIT, SEED
 from forecastry.session import ensure_parallelism
 from forecastry.sources import read_parquet, read_raw_sales, save_model, write_csv, write_parquet
 
@@ -38,11 +39,11 @@ def _write_split(df: DataFrame, training_path: str, weights, seed: int, mode: st
 
 
 def ingest_v1(spark: SparkSession, raw_path: str, processed_path: str, training_path: str,
-              seed: int = 42, split_mode: str = "random") -> None:
+              seed: int = SEED, split_mode: str = "random") -> None:
     """v1 ingest: text columns, rows with any null dropped, Parquet, 80/20 CSVs."""
     cleaned = clean.drop_missing(read_raw_sales(spark, raw_path))
     write_parquet(cleaned, processed_path)
-    _write_split(read_parquet(spark, processed_path), training_path, (0.8, 0.2), seed, split_mode)
+    _write_split(read_parquet(spark, processed_path), training_path, INGEST_SPLIT, seed, split_mode)
 
 
 def ingest(
@@ -51,7 +52,7 @@ def ingest(
     processed_path: str,
     training_path: str | None = None,
     eda_path: str | None = None,
-    seed: int = 42,
+    seed: int = SEED,
     split_mode: str = "random",
     scale_method: str = "expr",
 ) -> dict:
@@ -80,7 +81,7 @@ def ingest(
     if eda_path:
         write_summaries(written, eda_path)
     if training_path:
-        _write_split(written, training_path, (0.8, 0.2), seed, split_mode)
+        _write_split(written, training_path, INGEST_SPLIT, seed, split_mode)
     return stats
 
 
@@ -136,7 +137,7 @@ def train(
     predictions_path: str,
     models_path: str,
     forest: str = "tuned",
-    seed: int = 42,
+    seed: int = SEED,
     split_mode: str = "random",
     keep_keys: bool = False,
     handle_invalid: str = "error",
@@ -146,7 +147,7 @@ def train(
     data = model.assemble(
         ensure_parallelism(read_parquet(spark, features_path)), keep_keys=keep_keys, handle_invalid=handle_invalid
     )
-    train_df, test_df = _split(data, (0.7, 0.3), seed, split_mode)
+    train_df, test_df = _split(data, MODEL_SPLIT, seed, split_mode)
     train_df = train_df.persist()
     try:
         lr = model.fit_linear(train_df)

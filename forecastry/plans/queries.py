@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
-from forecastry.schema import RAW_COLUMNS
+from forecastry.schema import INGEST_SPLIT, MODEL_SPLIT, RAW_COLUMNS, SEED, TOP_ITEMS
 from forecastry.session import ensure_parallelism, materialize, scratch_path
 from forecastry.sources import read_raw_sales, write_csv
 from forecastry.sources import tables
@@ -146,7 +146,7 @@ def item_sales(spark, sf):
 
 def top_items(spark, sf):
     """O3 + F5."""
-    return summaries.top_items(_panel(spark, sf), 10)
+    return summaries.top_items(_panel(spark, sf), TOP_ITEMS)
 
 
 def monthly_series(spark, sf):
@@ -193,7 +193,7 @@ def random_split(spark, sf):
     The split samples a written table, so both sides see one fixed layout:
     disjoint and together complete, even if a partition is recomputed.
     """
-    train, test = split.random_split(materialize(_panel(spark, sf), "panel"), (0.8, 0.2), 42)
+    train, test = split.random_split(materialize(_panel(spark, sf), "panel"), INGEST_SPLIT, SEED)
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
@@ -204,7 +204,7 @@ def _model_data(spark, sf):
     """Features written once (scalar columns: cheaper to encode than vectors),
     then assembled on read; the 70/30 split samples that fixed layout."""
     feats = ensure_parallelism(materialize(features.demand_features(_imputed(spark, sf)), "features"))
-    return split.random_split(model.assemble(feats, keep_keys=True), (0.7, 0.3), 42)  # R2
+    return split.random_split(model.assemble(feats, keep_keys=True), MODEL_SPLIT, SEED)  # R2
 
 
 def linear_forecast(spark, sf):

@@ -23,6 +23,16 @@ LABEL_COLUMN = "label"
 # status-report wording
 NO_RUNS = "No Runs Found"
 NOT_AVAILABLE = "N/A"
+# history features: lags in rows, trailing mean width in rows
+SHORT_LAG = 1
+LONG_LAG = 7
+ROLLING_ROWS = 7
+# splits and seeds
+INGEST_SPLIT = (0.8, 0.2)
+MODEL_SPLIT = (0.7, 0.3)
+SEED = 42
+# chart data preparation: items shown
+TOP_ITEMS = 10
 # ---- end of fixed values ----
 
 KEY_COLUMNS = ("store", "item", "date")
