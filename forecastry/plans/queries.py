@@ -197,6 +197,11 @@ def random_split(spark, sf):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
+def random_split_sizes(spark, sf):
+    """R1 sizes: rows per side of the 80/20 split (one small aggregate)."""
+    return random_split(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # ---- models ------------------------------------------------------------------
 
 
@@ -268,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "hash_split_train": hash_split_train,
     "cutoff_split_test": cutoff_split_test,
     "random_split": random_split,
+    "random_split_sizes": random_split_sizes,
     "linear_forecast": linear_forecast,
     "forest_forecast": forest_forecast,
     "model_rmse": model_rmse,
