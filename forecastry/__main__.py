@@ -2,6 +2,7 @@
 
     python -m forecastry ingest   --raw R --processed P [--training T] [--eda E]
     python -m forecastry ingest-v1 --raw R --processed P --training T
+    python -m forecastry ingest-stream --raw R --processed P --checkpoint C [--drop-nulls]
     python -m forecastry explore  --processed P --eda E
     python -m forecastry features --processed P --features F [--leak-free]
     python -m forecastry train    --features F --predictions O --models M [--forest tuned|light]
@@ -21,6 +22,7 @@ from forecastry.plans import jobs
 from forecastry.schema import SEED
 from forecastry.session import get_session
 from forecastry.sources import read_parquet, write_parquet
+from forecastry.streaming import ingest_stream
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -37,6 +39,11 @@ def _parser() -> argparse.ArgumentParser:
     a = sub.add_parser("ingest-v1")
     for k in ("--raw", "--processed", "--training"):
         a.add_argument(k, required=True)
+    a = sub.add_parser("ingest-stream")
+    for k in ("--raw", "--processed", "--checkpoint"):
+        a.add_argument(k, required=True)
+    a.add_argument("--drop-nulls", action="store_true")
+    a.add_argument("--max-files-per-trigger", type=int, default=100)
     a = sub.add_parser("explore")
     for k in ("--processed", "--eda"):
         a.add_argument(k, required=True)
@@ -69,6 +76,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     elif args.cmd == "ingest-v1":
         jobs.ingest_v1(spark, args.raw, args.processed, args.training, args.seed, args.split_mode)
         out = {}
+    elif args.cmd == "ingest-stream":
+        q = ingest_stream(spark, args.raw, args.processed, args.checkpoint, args.drop_nulls,
+                          args.max_files_per_trigger)
+        progress = q.lastProgress or {}
+        out = {"batch": progress.get("batchId"), "rows": progress.get("numInputRows")}
     elif args.cmd == "explore":
         out = jobs.explore(spark, args.processed, args.eda)
     elif args.cmd == "features":

@@ -49,3 +49,13 @@ def test_stream_header_mismatch_fails(spark):
     _write(os.path.join(raw, "b.csv"), "item,store,date,sales", [("9", "1", "2013-01-05", "3")])
     with pytest.raises(Exception):
         ingest_stream(spark, raw, out, ck)
+
+
+def test_stream_from_command_line(spark):
+    from forecastry.__main__ import main
+    root = tempfile.mkdtemp(prefix="fc-stream-")
+    raw, out, ck = (os.path.join(root, d) for d in ("raw", "processed", "ck"))
+    os.makedirs(raw)
+    _write(os.path.join(raw, "a.csv"), "store,item,date,sales", [("1", "1", "2013-01-01", "3")])
+    main(["ingest-stream", "--raw", raw, "--processed", out, "--checkpoint", ck], spark=spark)
+    assert spark.read.parquet(out).count() == 1
