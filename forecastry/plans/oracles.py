@@ -128,6 +128,11 @@ FROM holes""",
     + "SELECT store, avg(sales) AS avg_sales FROM panel GROUP BY store ORDER BY avg_sales DESC, store",
     "item_sales": SALES
     + "SELECT item, sum(sales) AS total_sales FROM panel GROUP BY item ORDER BY total_sales DESC, item",
+    "monthly_sales_cube": SALES + _MONTHLY + "ORDER BY year, month",
+    "store_avg_cube": SALES
+    + "SELECT store, avg(sales) AS avg_sales FROM panel GROUP BY store ORDER BY avg_sales DESC, store",
+    "item_sales_cube": SALES
+    + "SELECT item, sum(sales) AS total_sales FROM panel GROUP BY item ORDER BY total_sales DESC, item",
     "top_items": SALES
     + """SELECT CAST(item AS VARCHAR) AS item, total_sales FROM (
     SELECT item, sum(sales) AS total_sales FROM panel GROUP BY item

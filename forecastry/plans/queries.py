@@ -144,6 +144,27 @@ def item_sales(spark, sf):
     return summaries.item_sales(_panel(spark, sf))
 
 
+def _cube_summary(spark, sf, name):
+    """A4-A6 the way the explore job builds them: one pass to a small
+    (store, item, year, month) cube, then three tiny aggregates."""
+    return summaries.summaries_from_cube(summaries.sales_cube(_panel(spark, sf)))[name]
+
+
+def monthly_sales_cube(spark, sf):
+    """A4 + O1 through the cube."""
+    return _cube_summary(spark, sf, "monthly_sales")
+
+
+def store_avg_cube(spark, sf):
+    """A5 + O2 through the cube."""
+    return _cube_summary(spark, sf, "store_avg")
+
+
+def item_sales_cube(spark, sf):
+    """A6 + O2 through the cube."""
+    return _cube_summary(spark, sf, "item_sales")
+
+
 def top_items(spark, sf):
     """O3 + F5."""
     return summaries.top_items(_panel(spark, sf), TOP_ITEMS)
@@ -264,6 +285,9 @@ QUERIES: dict[str, Query] = {
     "monthly_sales": monthly_sales,
     "store_avg": store_avg,
     "item_sales": item_sales,
+    "monthly_sales_cube": monthly_sales_cube,
+    "store_avg_cube": store_avg_cube,
+    "item_sales_cube": item_sales_cube,
     "top_items": top_items,
     "monthly_series": monthly_series,
     "correlations": correlations,
