@@ -43,7 +43,7 @@ def corr_column(a: str, b: str, null_as_zero: bool = False) -> Column:
     ``True`` counts null as 0 (the ``DataFrame.stat.corr`` rule, X4).  A
     constant column gives null instead of ANSI DIVIDE_BY_ZERO.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    x, y = F.col(a).try_cast("double"), F.col(b).try_cast("double")
     if null_as_zero:
         x, y = F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
     else:
