@@ -22,7 +22,13 @@ from forecastry.schema import HISTORY_COLUMNS, KEY_COLUMNS, LONG_LAG, ROLLING_RO
 
 
 def series_window():
-    return Window.partitionBy("store", "item").orderBy("date")
+    """Rows of one (store, item) series in date order.
+
+    ``sales`` breaks ties (X12): with a repeated (store, item, date) key the
+    remaining ties carry equal sales, so every lag and rolling mean is
+    deterministic; with unique keys it changes nothing.
+    """
+    return Window.partitionBy("store", "item").orderBy("date", "sales")
 
 
 def daily_totals(df: DataFrame) -> DataFrame:

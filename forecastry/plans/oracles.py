@@ -66,9 +66,9 @@ SELECT store, item, "date", sales,
        CAST(year("date") AS INTEGER) AS year,
        CAST(month("date") AS INTEGER) AS month,
        CAST(dayofweek("date") + 1 AS INTEGER) AS day_of_week,
-       coalesce(lag(sales, 1) OVER (PARTITION BY store, item ORDER BY "date"), CAST(0 AS REAL)) AS lag_1,
-       coalesce(lag(sales, 7) OVER (PARTITION BY store, item ORDER BY "date"), CAST(0 AS REAL)) AS lag_7,
-       coalesce(avg(sales) OVER (PARTITION BY store, item ORDER BY "date" {frame}), 0.0) AS rolling_avg_7
+       coalesce(lag(sales, 1) OVER (PARTITION BY store, item ORDER BY "date", sales), CAST(0 AS REAL)) AS lag_1,
+       coalesce(lag(sales, 7) OVER (PARTITION BY store, item ORDER BY "date", sales), CAST(0 AS REAL)) AS lag_7,
+       coalesce(avg(sales) OVER (PARTITION BY store, item ORDER BY "date", sales {frame}), 0.0) AS rolling_avg_7
 FROM imputed
 """
 

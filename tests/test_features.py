@@ -64,3 +64,13 @@ def test_daily_totals_makes_keys_unique(spark):
     out = features.daily_totals(df)
     assert out.count() == 2
     assert out.filter(F.col("date") == "2013-01-01").first()["sales"] == 4.0
+
+
+def test_repeated_keys_give_deterministic_features(spark):
+    rows = [(1, 1, v, dt.date(2013, 1, 1)) for v in (5.0, 1.0, 3.0)] + [(1, 1, 2.0, dt.date(2013, 1, 2))]
+    df = spark.createDataFrame(rows, "store int, item int, sales float, date date")
+    a = sorted(features.demand_features(df.repartition(3)).collect())
+    b = sorted(features.demand_features(df.coalesce(1)).collect())
+    assert a == b
+    lags = {r["sales"]: r["lag_1"] for r in a}
+    assert lags == {1.0: 0.0, 3.0: 1.0, 5.0: 3.0, 2.0: 5.0}
