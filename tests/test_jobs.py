@@ -112,3 +112,19 @@ def test_features_unique_keys_sum(spark, zones):
     assert feats.groupBy("store", "item", "date").count().filter("count > 1").count() == 0
     with pytest.raises(ValueError):
         jobs.build_features(spark, p, out, unique_keys="bogus")
+
+
+def test_train_observed_rmse_equals_evaluator(spark, zones):
+    from forecastry.operators import model, split
+    from forecastry.sources import load_model
+    root = tempfile.mkdtemp(prefix="fc-tr-")
+    p, f = os.path.join(root, "processed"), os.path.join(root, "features")
+    jobs.ingest(spark, zones["raw"], p)
+    jobs.build_features(spark, p, f)
+    rep = jobs.train(spark, f, os.path.join(root, "pred"), os.path.join(root, "models"), forest="light", split_mode="hash")
+    preds = spark.read.parquet(os.path.join(root, "pred"))
+    direct = preds.agg(F.sqrt(F.avg((F.col("actual_sales") - F.col("predicted_sales")) ** 2))).first()[0]
+    assert rep["random_forest"] == pytest.approx(direct, rel=1e-9)
+    lr = load_model("linear", os.path.join(root, "models", "linear_regression_model"))
+    _, test = split.hash_split(model.assemble(spark.read.parquet(f)), 70)
+    assert rep["linear_regression"] == pytest.approx(model.rmse_evaluator(lr.transform(test)), rel=1e-9)
