@@ -72,14 +72,14 @@ def min_max(df: DataFrame, column: str) -> tuple[float | None, float | None]:
     return row["lo"], row["hi"]
 
 
-def profile(
+def profile_columns(
     df: DataFrame,
     stats_of=("sales", "store", "item"),
     corr_of=DEFAULT_CORR_COLUMNS,
     null_as_zero: bool = True,
-) -> DataFrame:
-    """One-pass profile: row count, null count per column, typed stats and
-    correlations, all in a single aggregate (partial + final on Catalyst)."""
+) -> list[Column]:
+    """The aggregate expressions of :func:`profile`: row count, null count per
+    column, typed stats and correlations.  Usable with ``agg`` or ``observe``."""
     exprs = [F.count(F.lit(1)).alias("n_rows")]
     exprs += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns]
     for c in stats_of:
@@ -87,4 +87,15 @@ def profile(
     exprs += [
         corr_column(a, b, null_as_zero).alias(f"corr_{a}_{b}") for a, b in combinations(corr_of, 2)
     ]
-    return df.agg(*exprs)
+    return exprs
+
+
+def profile(
+    df: DataFrame,
+    stats_of=("sales", "store", "item"),
+    corr_of=DEFAULT_CORR_COLUMNS,
+    null_as_zero: bool = True,
+) -> DataFrame:
+    """One-pass profile: row count, null count per column, typed stats and
+    correlations, all in a single aggregate (partial + final on Catalyst)."""
+    return df.agg(*profile_columns(df, stats_of, corr_of, null_as_zero))

@@ -128,3 +128,14 @@ def test_train_observed_rmse_equals_evaluator(spark, zones):
     lr = load_model("linear", os.path.join(root, "models", "linear_regression_model"))
     _, test = split.hash_split(model.assemble(spark.read.parquet(f)), 70)
     assert rep["linear_regression"] == pytest.approx(model.rmse_evaluator(lr.transform(test)), rel=1e-9)
+
+
+def test_explore_observed_profile_equals_one_pass_profile(spark, zones):
+    from forecastry.operators import profile
+    root = tempfile.mkdtemp(prefix="fc-ex-")
+    p = os.path.join(root, "processed")
+    jobs.ingest(spark, zones["raw"], p)
+    got = jobs.explore(spark, p, os.path.join(root, "eda"))
+    want = profile.profile(spark.read.parquet(p), stats_of=("sales",)).first().asDict()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-9), k
