@@ -5,7 +5,6 @@ checked to reduce the hot key map-side (partial aggregate or partial
 group limit) rather than ship it whole to one task.
 """
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from forecastry.operators import status, summaries

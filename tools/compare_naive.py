@@ -17,7 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from forecastry.operators import profile, summaries  # noqa: E402
 from forecastry.plans.jobs import naive_profile  # noqa: E402
