@@ -18,6 +18,7 @@ import os
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from forecastry.functions.calendar import calendar_columns
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
 from forecastry.schema import INGEST_SPLIT, LABEL_COLUMN, MODEL_SPLIT, SEED
 from forecastry.session import ensure_parallelism
@@ -85,29 +86,35 @@ def ingest(
     return stats
 
 
-def write_summaries(df: DataFrame, eda_path: str) -> dict[str, DataFrame]:
-    """Monthly / store / item summaries from one cube pass, written as CSV."""
+def write_summaries(df: DataFrame, eda_path: str, head: int = 10) -> dict[str, list[dict]]:
+    """Monthly / store / item summaries from one cube pass, written as CSV.
+
+    Returns the first ``head`` rows of each (what the reference showed),
+    taken while the cube is still cached.
+    """
     # The cube is bounded by stores x items x months, so caching it is cheap;
     # a lost block is recomputed from its (deterministic) aggregate.
     cube = summaries.sales_cube(df).persist()
     try:
-        outs = summaries.summaries_from_cube(cube)
-        for name, out in outs.items():
+        heads = {}
+        for name, out in summaries.summaries_from_cube(cube).items():
             write_csv(out, os.path.join(eda_path, name))
+            heads[name] = [r.asDict() for r in out.limit(head).collect()]
     finally:
         cube.unpersist()
-    return outs
+    return heads
 
 
 def explore(spark: SparkSession, processed_path: str, eda_path: str) -> dict:
     """EDA job: one scan (cube + observed profile), three ordered CSV summaries."""
-    df = read_parquet(spark, processed_path)
-    # Null counts of every column, typed stats of sales and correlations (the
-    # stat.corr null rule) are observed while the cube pass scans the table,
-    # so the whole job reads the data once.
+    df = read_parquet(spark, processed_path).withColumns(calendar_columns("date", "dayofweek"))
+    # Null counts of every column (calendar columns included), typed stats of
+    # sales and correlations (the stat.corr null rule) are observed while the
+    # cube pass scans the table, so the whole job reads the data once.
     observed = Observation("profile")
-    write_summaries(df.observe(observed, *profile.profile_columns(df, stats_of=("sales",))), eda_path)
+    heads = write_summaries(df.observe(observed, *profile.profile_columns(df, stats_of=("sales",))), eda_path)
     stats = dict(observed.get)
+    stats.update({f"{name}_head": rows for name, rows in heads.items()})
     stats["dtypes"] = df.dtypes
     stats["sample"] = [r.asDict() for r in summaries.sample_rows(df, 5).collect()]
     return stats

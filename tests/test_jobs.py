@@ -139,3 +139,6 @@ def test_explore_observed_profile_equals_one_pass_profile(spark, zones):
     want = profile.profile(spark.read.parquet(p), stats_of=("sales",)).first().asDict()
     for k, v in want.items():
         assert got[k] == pytest.approx(v, rel=1e-9), k
+    assert got["nulls_dayofweek"] == 0 and got["nulls_year"] == 0
+    assert len(got["monthly_sales_head"]) == 10 and len(got["store_avg_head"]) == 10
+    assert [r["total_sales"] for r in got["item_sales_head"]] == sorted((r["total_sales"] for r in got["item_sales_head"]), reverse=True)
