@@ -62,9 +62,10 @@ def ingest(
 
     Returns the profile as a dict (what the reference printed).
     """
-    typed = clean.typed_sales(read_raw_sales(spark, raw_path))
+    raw = read_raw_sales(spark, raw_path)
+    typed = clean.typed_sales(raw)
     stats = profile.profile(typed).first().asDict()  # pass 1: every statistic at once
-    stats["dtypes"] = typed.dtypes  # P7: driver metadata, no job
+    stats["raw_dtypes"], stats["dtypes"] = raw.dtypes, typed.dtypes  # P7: driver metadata, no job
     if stats["sales_count"] == 0:
         raise ValueError("cannot impute 'sales': it has no non-null values")
     mean = float(stats["sales_mean"])

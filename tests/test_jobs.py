@@ -25,6 +25,7 @@ def zones(spark):
 def test_ingest_explore_features_train(spark, zones):
     stats = jobs.ingest(spark, zones["raw"], zones["processed"], zones["training"], zones["eda"])
     assert stats["n_rows"] == zones["n"] and stats["nulls_sales"] == zones["nulls"]
+    assert {t for _, t in stats["raw_dtypes"]} == {"string"} and ("sales", "float") in stats["dtypes"]
     processed = spark.read.parquet(zones["processed"])
     assert processed.filter(F.col("sales").isNull()).count() == 0
     lo, hi = processed.agg(F.min("sales_scaled_value"), F.max("sales_scaled_value")).first()
