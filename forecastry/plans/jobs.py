@@ -126,6 +126,10 @@ def build_features(spark: SparkSession, processed_path: str, features_path: str,
                    unique_keys: str = "trust") -> None:
     """Feature job: calendar, lag and rolling features (one Window), Parquet out.
 
+    ``partition_by`` (for example ``["year", "month"]``) lets later jobs prune
+    by period; each write task then emits one file per period it holds, so on
+    a long history it multiplies the file count.
+
     ``unique_keys="trust"`` (the reference's behaviour) takes one row per
     (store, item, date) as given.  ``"sum"`` first collapses repeated keys with
     a partially aggregated group-by (X12), which keeps every window partition

@@ -88,7 +88,12 @@ def test_command_line(spark, zones):
     out = main(["ingest", "--raw", zones["raw"], "--processed", p, "--split-mode", "hash",
                 "--training", os.path.join(root, "training")], spark=spark)
     assert out["n_rows"] == zones["n"]
+    eda = main(["explore", "--processed", p, "--eda", os.path.join(root, "eda")], spark=spark)
+    assert eda["n_rows"] == zones["n"]
     main(["features", "--processed", p, "--features", os.path.join(root, "features"), "--partition-by", "year"], spark=spark)
+    rep = main(["train", "--features", os.path.join(root, "features"), "--predictions", os.path.join(root, "pred"),
+                "--models", os.path.join(root, "models"), "--forest", "light", "--split-mode", "hash"], spark=spark)
+    assert rep["random_forest"] > 0
     assert os.path.isdir(os.path.join(root, "features", "year=1992")) or len(os.listdir(os.path.join(root, "features"))) > 1
     runs = os.path.join(root, "runs")
     tables.run_log(spark, SMOKE).write.parquet(runs)
