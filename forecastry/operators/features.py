@@ -62,3 +62,60 @@ def demand_features(df: DataFrame, leak_free: bool = False) -> DataFrame:
     """Calendar + lag + rolling features, missing history filled with 0."""
     out = df.withColumns(calendar_columns("date", "day_of_week")).withColumns(history_columns(leak_free))
     return fill_zero(out, HISTORY_COLUMNS)
+
+
+HALO_ROWS = max(LONG_LAG, ROLLING_ROWS)  # history rows any feature looks back
+
+
+def demand_features_chunked(df: DataFrame, chunk_days: int = 90, leak_free: bool = False) -> DataFrame:
+    """Same output as :func:`demand_features`, with no window partition larger
+    than one date chunk of one series plus a 7-row halo.
+
+    Each series is cut into ``chunk_days`` date chunks.  A chunk's halo is the
+    last 7 rows (in date, sales order) before it: every chunk's own tail comes
+    from a top-7-per-chunk that Spark limits map-side, and a small window over
+    the per-chunk table (one row per chunk) gathers the tails of the 7
+    previous non-empty chunks, which always hold the 7 rows wanted.  The
+    features are then computed per (series, chunk) with the halo rows in
+    front, and the halo rows are dropped.  Use it when single series are long
+    enough to strain one task.
+    """
+    key = ["store", "item"]
+    chunk = F.floor(F.datediff(F.col("date"), F.lit("1970-01-01").cast("date")) / F.lit(chunk_days))
+    rows = df.withColumn("_chunk", chunk)
+
+    newest_first = Window.partitionBy(*key, "_chunk").orderBy(F.desc("date"), F.desc_nulls_last("sales"))
+    tails = (
+        rows.select(*key, "_chunk", "date", "sales")
+        .withColumn("_n", F.row_number().over(newest_first))
+        .filter(F.col("_n") <= HALO_ROWS)
+        .groupBy(*key, "_chunk")
+        .agg(F.collect_list(F.struct("date", "sales")).alias("_tail"))
+    )
+    earlier = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(-HALO_ROWS, -1)
+    halo = (
+        tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(earlier)))
+        .select(*key, "_chunk", F.explode(F.slice(F.sort_array("_before", asc=False), 1, HALO_ROWS)).alias("_h"))
+        .select(*key, "_chunk", F.col("_h.date").alias("date"), F.col("_h.sales").alias("sales"),
+                F.lit(True).alias("_halo"))
+    )
+    stacked = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+
+    w = Window.partitionBy(*key, "_chunk").orderBy("date", "sales")
+    if leak_free:
+        frame = w.rowsBetween(-ROLLING_ROWS, -1)
+    else:
+        frame = w.rowsBetween(-(ROLLING_ROWS - 1), Window.currentRow)
+    history = {
+        "lag_1": F.lag("sales", SHORT_LAG).over(w),
+        "lag_7": F.lag("sales", LONG_LAG).over(w),
+        "rolling_avg_7": F.avg("sales").over(frame),
+    }
+    out = (
+        stacked.withColumns(history)
+        .filter(~F.col("_halo"))
+        .select(*df.columns, *history)
+        .withColumns(calendar_columns("date", "day_of_week"))
+    )
+    ordered = [*df.columns, "year", "month", "day_of_week", *HISTORY_COLUMNS]
+    return fill_zero(out.select(*ordered), HISTORY_COLUMNS)

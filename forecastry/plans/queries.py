@@ -193,6 +193,12 @@ def demand_features(spark, sf):
     return features.demand_features(_imputed(spark, sf))
 
 
+def demand_features_chunked(spark, sf):
+    """The flagship with each series cut into 30-day chunks plus a 7-row halo:
+    no window partition holds more than one chunk of one series."""
+    return features.demand_features_chunked(_imputed(spark, sf), chunk_days=30)
+
+
 def leak_free_features(spark, sf):
     """X11 opt-in: rolling mean over the 7 rows before the current one."""
     return features.demand_features(_imputed(spark, sf), leak_free=True)
@@ -293,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "correlations": correlations,
     "correlations_null_as_zero": correlations_null_as_zero,
     "demand_features": demand_features,
+    "demand_features_chunked": demand_features_chunked,
     "leak_free_features": leak_free_features,
     "hash_split_train": hash_split_train,
     "cutoff_split_test": cutoff_split_test,

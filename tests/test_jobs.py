@@ -115,6 +115,9 @@ def test_features_unique_keys_sum(spark, zones):
     jobs.build_features(spark, p, out, unique_keys="sum")
     feats = spark.read.parquet(out)
     assert feats.count() == zones["n"]
+    chunked = os.path.join(root, "chunked")
+    jobs.build_features(spark, p, chunked, unique_keys="sum", chunk_days=30)
+    assert spark.read.parquet(chunked).exceptAll(feats).count() == 0
     assert feats.groupBy("store", "item", "date").count().filter("count > 1").count() == 0
     with pytest.raises(ValueError):
         jobs.build_features(spark, p, out, unique_keys="bogus")

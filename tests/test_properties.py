@@ -40,3 +40,23 @@ def test_top_per_group_matches_pandas(spark, rows, k):
     pdf = pd.DataFrame(rows, columns=["g", "t", "key"]).sort_values(["g", "t", "key"], ascending=[True, False, True])
     want = sorted(tuple(int(x) if not isinstance(x, str) else x for x in r) for r in pdf.groupby("g").head(k).itertuples(index=False))
     assert got == want
+
+
+rows_with_gaps = st.lists(
+    st.tuples(st.integers(min_value=1, max_value=2), st.integers(min_value=0, max_value=60),
+              st.integers(min_value=0, max_value=9).map(float)),
+    min_size=1, max_size=60,
+)
+
+
+@SETTINGS
+@given(rows=rows_with_gaps, chunk_days=st.integers(min_value=1, max_value=20), leak_free=st.booleans())
+def test_chunked_window_equals_plain_window(spark, rows, chunk_days, leak_free):
+    import datetime as dt
+
+    from forecastry.operators import features
+    data = [(s, 1, v, dt.date(2013, 1, 1) + dt.timedelta(days=d)) for s, d, v in rows]  # gaps and repeated dates
+    df = spark.createDataFrame(data, "store int, item int, sales float, date date")
+    plain = sorted(features.demand_features(df, leak_free=leak_free).collect())
+    chunked = sorted(features.demand_features_chunked(df, chunk_days=chunk_days, leak_free=leak_free).collect())
+    assert plain == chunked
