@@ -8,7 +8,9 @@ Scale: with a unique (store, item, date) key a window partition holds at most
 one row per calendar day, so its size is bounded by the date range (1,826 rows
 for five years), never by the data volume; volume only adds series, which the
 hash exchange spreads over tasks.  :func:`daily_totals` enforces the unique
-key (X12) with a partially-aggregated group-by when the input may repeat keys.
+key (X12) with a partially-aggregated group-by when the input may repeat keys,
+and :func:`demand_features_chunked` splits long series into date chunks with a
+7-row halo, so no window task ever holds a whole series.
 """
 
 from __future__ import annotations
