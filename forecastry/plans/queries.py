@@ -254,7 +254,11 @@ def forest_forecast(spark, sf):
 def model_rmse(spark, sf):
     """A9 + M9: both models' RMSE on the same held-out rows, one scoring pass."""
     train, test = _model_data(spark, sf)
-    fitted = {"linear_regression": model.fit_linear(train), "random_forest": model.fit_forest(train, "light")}
+    train = train.persist()  # read by both fits; released once they are done
+    try:
+        fitted = {"linear_regression": model.fit_linear(train), "random_forest": model.fit_forest(train, "light")}
+    finally:
+        train.unpersist()
     return model.compare_models(fitted, test)
 
 
