@@ -87,7 +87,7 @@ def summaries_from_cube(cube: DataFrame) -> dict[str, DataFrame]:
     )
     stores = (
         cube.groupBy("store")
-        .agg((F.sum("sum_sales") / F.sum("n_sales")).alias("avg_sales"))
+        .agg(F.try_divide(F.sum("sum_sales"), F.sum("n_sales")).alias("avg_sales"))
         .orderBy(F.desc("avg_sales"), "store")
     )
     items = (

@@ -60,3 +60,68 @@ def test_chunked_window_equals_plain_window(spark, rows, chunk_days, leak_free):
     plain = sorted(features.demand_features(df, leak_free=leak_free).collect())
     chunked = sorted(features.demand_features_chunked(df, chunk_days=chunk_days, leak_free=leak_free).collect())
     assert plain == chunked
+
+
+panel_rows = st.lists(
+    st.tuples(
+        st.integers(min_value=1, max_value=3),
+        st.integers(min_value=1, max_value=4),
+        st.integers(min_value=0, max_value=400),
+        st.one_of(st.none(), st.integers(min_value=0, max_value=50).map(float)),
+    ),
+    min_size=2, max_size=50,
+)
+
+
+def _panel(spark, rows):
+    import datetime as dt
+    data = [(s, i, v, dt.date(2013, 1, 1) + dt.timedelta(days=d)) for s, i, d, v in rows]
+    return spark.createDataFrame(data, "store int, item int, sales float, date date")
+
+
+@SETTINGS
+@given(rows=panel_rows)
+def test_profile_matches_pandas(spark, rows):
+    import math
+
+    from forecastry.operators import profile
+    df = _panel(spark, rows)
+    got = profile.profile(df, null_as_zero=False).first().asDict()
+    pdf = df.toPandas().astype({"sales": "float64"})
+    assert got["n_rows"] == len(pdf)
+    assert got["nulls_sales"] == int(pdf["sales"].isna().sum())
+    s = pdf["sales"].dropna()
+    if len(s):
+        assert math.isclose(got["sales_mean"], s.mean(), rel_tol=1e-12)
+    if len(s) > 1:
+        assert math.isclose(got["sales_stddev"], s.std(ddof=1), rel_tol=1e-9, abs_tol=1e-12)
+    pair = pdf[["store", "sales"]].dropna()
+    if len(pair) > 1 and pair["store"].std() > 0 and pair["sales"].std() > 0:
+        want = pair["store"].astype(float).corr(pair["sales"])
+        assert math.isclose(got["corr_store_sales"], want, rel_tol=1e-9, abs_tol=1e-12)
+    elif len(pair) > 1:
+        assert got["corr_store_sales"] is None
+
+
+@SETTINGS
+@given(rows=panel_rows)
+def test_cube_summaries_match_direct(spark, rows):
+    from forecastry.operators import summaries
+    df = _panel(spark, rows)
+    cube = summaries.summaries_from_cube(summaries.sales_cube(df))
+    assert cube["monthly_sales"].collect() == summaries.monthly_sales(df).collect()
+    assert cube["item_sales"].collect() == summaries.item_sales(df).collect()
+    a = {r["store"]: r["avg_sales"] for r in cube["store_avg"].collect()}
+    b = {r["store"]: r["avg_sales"] for r in summaries.store_avg(df).collect()}
+    assert a.keys() == b.keys()
+    assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+@SETTINGS
+@given(rows=panel_rows, pct=st.integers(min_value=0, max_value=100))
+def test_hash_split_disjoint_and_complete(spark, rows, pct):
+    from forecastry.operators import split
+    df = _panel(spark, rows)
+    train, test = split.hash_split(df, pct)
+    assert train.count() + test.count() == df.count()
+    assert train.intersect(test).count() == 0
