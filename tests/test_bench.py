@@ -12,7 +12,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 def test_bench_prints_one_json_line():
     env = dict(os.environ, BENCH_SF_DIR=SMOKE, BENCH_WARMUP_DIR=SMOKE, BENCH_CPUS="2",
-               BENCH_QUERIES="monthly_sales,latest_run")
+               BENCH_QUERIES="monthly_sales,latest_run", BENCH_JOBS="0")
     out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, capture_output=True,
                          text=True, timeout=600, check=True)
     lines = [line for line in out.stdout.splitlines() if line.strip()]
