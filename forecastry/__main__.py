@@ -30,36 +30,36 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
     common = {"--seed": {"type": int, "default": SEED}, "--split-mode": {"choices": ["random", "hash"], "default": "random"}}
 
-    a = sub.add_parser("ingest")
+    a = sub.add_parser("ingest", help="raw CSV -> typed, imputed, scaled Parquet (+ split CSVs, summaries)")
     for k in ("--raw", "--processed"):
         a.add_argument(k, required=True)
     a.add_argument("--training")
     a.add_argument("--eda")
     a.add_argument("--scale-method", choices=["expr", "ml"], default="expr")
-    a = sub.add_parser("ingest-v1")
+    a = sub.add_parser("ingest-v1", help="raw CSV -> text Parquet without null rows, split CSVs")
     for k in ("--raw", "--processed", "--training"):
         a.add_argument(k, required=True)
-    a = sub.add_parser("ingest-stream")
+    a = sub.add_parser("ingest-stream", help="incremental raw CSV -> typed Parquet (Structured Streaming)")
     for k in ("--raw", "--processed", "--checkpoint"):
         a.add_argument(k, required=True)
     a.add_argument("--drop-nulls", action="store_true")
     a.add_argument("--max-files-per-trigger", type=int, default=100)
-    a = sub.add_parser("explore")
+    a = sub.add_parser("explore", help="profile + monthly/store/item summary CSVs")
     for k in ("--processed", "--eda"):
         a.add_argument(k, required=True)
-    a = sub.add_parser("features")
+    a = sub.add_parser("features", help="calendar, lag and rolling-mean features")
     for k in ("--processed", "--features"):
         a.add_argument(k, required=True)
     a.add_argument("--leak-free", action="store_true")
     a.add_argument("--partition-by", nargs="*")
     a.add_argument("--unique-keys", choices=["trust", "sum"], default="trust")
     a.add_argument("--chunk-days", type=int)
-    a = sub.add_parser("train")
+    a = sub.add_parser("train", help="fit least squares + forest, RMSE, predictions, saved models")
     for k in ("--features", "--predictions", "--models"):
         a.add_argument(k, required=True)
     a.add_argument("--forest", choices=["tuned", "light"], default="tuned")
     a.add_argument("--keep-keys", action="store_true")
-    a = sub.add_parser("status")
+    a = sub.add_parser("status", help="latest run per job, newest artefact per prefix")
     for k in ("--runs", "--jobs", "--listing", "--out"):
         a.add_argument(k, required=True)
     for name in ("ingest", "ingest-v1", "train"):
