@@ -1,4 +1,5 @@
-"""Property tests (hypothesis) for the scaling and top-per-group operators."""
+"""Property tests (hypothesis, derandomized): scaling, top-per-group, chunked vs plain window,
+profile vs pandas, cube vs direct summaries, hash split."""
 
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
