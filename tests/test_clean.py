@@ -56,3 +56,16 @@ def test_fill_zero(spark):
     df = spark.createDataFrame([(None, 1.0, float("nan"))], "lag_1 float, lag_7 float, rolling_avg_7 double")
     r = clean.fill_zero(df).first()
     assert (r["lag_1"], r["lag_7"], r["rolling_avg_7"]) == (0.0, 1.0, 0.0)
+
+
+def test_extra_raw_columns_pass_through(spark):
+    df = spark.createDataFrame([("2013-01-01", "1", "2", "3", "north")], "date string, store string, item string, sales string, region string")
+    out = clean.typed_sales(df)
+    assert out.columns == ["date", "store", "item", "sales", "region"]
+    assert dict(out.dtypes)["region"] == "string" and out.first()["region"] == "north"
+
+
+def test_impute_mean_on_double_column(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (4.0,)], "sales double")
+    out = sorted(r["sales"] for r in clean.impute_mean(df).collect())
+    assert out == [1.0, 2.5, 2.5, 4.0]

@@ -69,3 +69,11 @@ def test_top_per_group_k(spark):
     from pyspark.sql import functions as F
     out = sorted((r["g"], r["v"]) for r in status.top_per_group(df, ["g"], [F.desc("v")], k=2).collect())
     assert out == [("a", 2), ("a", 3), ("b", 5)]
+
+
+def test_job_status_with_no_runs_at_all(spark):
+    jobs = spark.createDataFrame([(1,), (2,)], "job long")
+    empty = spark.createDataFrame([], RUN_LOG_SCHEMA)
+    out = status.job_status(jobs, empty).collect()
+    assert sorted(r["status"] for r in out) == ["No Runs Found", "No Runs Found"]
+    assert status.latest_artifact(spark.createDataFrame([], ARTEFACT_SCHEMA)).count() == 0
