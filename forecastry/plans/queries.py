@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from forecastry.functions.casts import nan_to_null
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
 from forecastry.schema import INGEST_SPLIT, MODEL_SPLIT, RAW_COLUMNS, SEED, TOP_ITEMS
 from forecastry.session import ensure_parallelism, materialize, scratch_path
@@ -37,14 +38,25 @@ def _holes(spark, sf):
 
 
 def _holes_table(spark, sf):
-    """The holed panel written once to the shared scratch folder: later passes
-    (the mean, then the output) read it instead of re-aggregating lineitem, and
-    the mean pass reads one column."""
-    return materialize(_holes(spark, sf), "holes")
+    """The holed panel written once to the shared scratch folder, with the
+    statistics imputation and scaling need (mean, min, max, missing count of
+    sales) observed during that write: no extra pass for them."""
+    stats = Observation("holes")
+    sales = nan_to_null(F.col("sales"))
+    observed = _holes(spark, sf).observe(
+        stats, F.avg(sales).alias("mean"), F.min(sales).alias("lo"), F.max(sales).alias("hi"),
+        F.count_if(sales.isNull()).alias("missing"),
+    )
+    table = materialize(observed, "holes")
+    got = stats.get
+    if got["mean"] is None:
+        raise ValueError("cannot impute 'sales': it has no non-null values")
+    return table, got
 
 
 def _imputed(spark, sf):
-    return clean.impute_mean(_holes_table(spark, sf))
+    table, stats = _holes_table(spark, sf)
+    return clean.impute_mean(table, mean=stats["mean"])
 
 
 def _round_all(df: DataFrame, digits: int, skip=()) -> DataFrame:
@@ -93,8 +105,11 @@ def minmax_scale(spark, sf):
 
 
 def minmax_scale_expr(spark, sf):
-    """N2 + A8 + M3 as plain expressions: one statistics pass, no vector column."""
-    return scale.impute_then_scale(_holes_table(spark, sf))
+    """N2 + A8 + M3 as plain expressions: the statistics come from the
+    hand-over write, so imputing and scaling add no pass; no vector column."""
+    table, st = _holes_table(spark, sf)
+    bounds = scale.imputed_bounds(st["lo"], st["hi"], st["mean"], st["missing"], table.schema["sales"].dataType)
+    return scale.scale_expr(clean.impute_mean(table, mean=st["mean"]), bounds=bounds)
 
 
 # ---- explore -------------------------------------------------------------
