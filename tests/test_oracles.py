@@ -57,3 +57,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "rolling_avg_7" in df.columns
+
+
+SESSION_SENSITIVE = ["typed_from_csv", "demand_features", "monthly_series", "hash_split_train",
+                     "latest_run", "job_status", "latest_artifact", "sales_profile"]
+
+
+@pytest.mark.parametrize("name", SESSION_SENSITIVE)
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "200")
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    got = _rows(E.queries()[name](other, SMOKE).toPandas())
+    assert got == _rows(con.execute(ORACLES[name]).df())
