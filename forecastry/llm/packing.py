@@ -19,12 +19,14 @@ remainder; an empty table gives no rows.  Each id lies in exactly one piece.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -33,8 +35,6 @@ from forecastry.llm.common import id_and_text
 
 RUN_PIECES = 32_768
 RUN_IDS = 4_000_000
-CACHE_ENTRIES = 300_000
-CACHED_CHARS = 48
 END = b"\0\0\0\0"
 
 PIECES_SCHEMA = (
@@ -45,29 +45,55 @@ MATRIX_SCHEMA = (
     "doc_ids array<long>, doc_starts array<long>"
 )
 
-# Chunks at which a byte-level pre-tokenizer always breaks: a run of non-space
-# characters with the one space or line feed before it, or white space alone.
-# U+001C-U+001F are white space to Python but not to the tokenizer.
-_S, _N = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
-CHUNKS = re.compile(rf"[ \n]?{_N}+|{_S}+(?!{_N})|{_S}")
+# The byte-level pre-tokenizer's pattern, and the characters on
+# which both tokenizer libraries were compared one by one (tests/llm).
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+COMPARED = re.compile("[^\x00-\u024f]")
 
 
-class ChunkIds(dict):
-    """chunk -> its ids as little-endian unsigned 32-bit bytes."""
+def byte_of_char() -> dict[str, int]:
+    """The byte each character of a byte-level vocabulary stands for: printable
+    Latin-1 characters are themselves, the rest follow from U+0100."""
+    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in keep]
+    return {chr(b): b for b in keep} | {chr(0x100 + i): b for i, b in enumerate(rest)}
+
+
+class Encoder:
+    """Text to ids (little-endian unsigned 32 bit), as the tokenizer file gives
+    them without added special tokens.
+
+    Where the file is a byte-level BPE whose ids are its merge ranks, texts of
+    compared characters without a special string go through tiktoken with the
+    same ranks (the same ids in a third of the time); all others go through
+    the tokenizers library.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(chunk) <= CACHED_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[chunk] = ids
-        return ids
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.fast = self._fast(json.load(open(path, encoding="utf-8")))
+
+    @staticmethod
+    def _fast(spec: dict) -> tiktoken.Encoding | None:
+        model, before = spec["model"], spec.get("pre_tokenizer") or {}
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        if model["type"] != "BPE" or not plain or spec.get("normalizer") or model.get("ignore_merges"):
+            return None
+        vocab, special = model["vocab"], {t["content"] for t in spec["added_tokens"]}
+        merged = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merged)):
+            return None
+        chars = byte_of_char()
+        ranks = {bytes(chars[c] for c in t): i for t, i in vocab.items() if t not in special}
+        return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, CHUNKS.findall(text)))
+        if self.fast and not COMPARED.search(text) and not any(s in text for s in self.special):
+            ids = self.fast.encode_ordinary(text)
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 class CapacityTree:
@@ -164,7 +190,7 @@ class Packer:
 def _sequences(batches, tokenizer_path: str, window: int, cache: dict) -> Iterator[tuple[int, list[tuple]]]:
     encoder = cache.get(tokenizer_path)
     if encoder is None:
-        encoder = cache[tokenizer_path] = ChunkIds(tokenizer_path)
+        encoder = cache[tokenizer_path] = Encoder(tokenizer_path)
     packer, counter = Packer(window), TaskContext.get().partitionId() << 40
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
