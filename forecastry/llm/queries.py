@@ -9,12 +9,17 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastry.llm import decontam, packing, tokens
+from forecastry.llm import decontam, packing, pii, tokens
 from forecastry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pii(spark, sf):
+    """Personal data in every document: the rules' spans and the model's."""
+    return pii.find(table(spark, sf, "documents"))
+
+
 def op4_token_counts(spark, sf):
     """Tokens of every document by the word-end vocabulary, limit 2048."""
     return tokens.token_counts(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
@@ -47,6 +52,7 @@ def op9_decontamination(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op7_packed_matrices": op7_packed_matrices,
