@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastry.llm import decontam, packing, pii, tokens
+from forecastry.llm import decontam, neardup, packing, pii, tokens
 from forecastry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,12 +51,18 @@ def op9_decontamination(spark, sf):
     )
 
 
+def op10_near_duplicates(spark, sf):
+    """Components of documents linked at 0.85 on sets of five-word shingles."""
+    return neardup.near_duplicates(table(spark, sf, "documents"), threshold=0.85, shingle=5)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op7_packed_matrices": op7_packed_matrices,
     "op9_decontamination": op9_decontamination,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {
