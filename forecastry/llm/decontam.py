@@ -160,9 +160,9 @@ def collect_benchmark(
 
 def find_overlaps(
     df: DataFrame, benchmark: DataFrame, window: int = 10, max_benchmark_bytes: int = 64 << 20,
-    text_col: str = "text", item_col: str = "item_id", benchmark_text_col: str = "text",
+    text_col: str = "text", item_col: str = "item_id", benchmark_text_col: str = "text", into: str = "overlap",
 ) -> DataFrame:
-    """Every column of ``df`` and a struct column ``overlap`` with n_words,
+    """Every column of ``df`` and a struct column ``into`` with n_words,
     n_hit (words inside any occurrence of a window) and matches (the longest
     verbatim matches).  A column of that name in the input is replaced."""
     index = df.sparkSession.sparkContext.broadcast(
@@ -172,7 +172,7 @@ def find_overlaps(
     match = pa.struct([("item_id", pa.string()), ("item_start", pa.int32()), ("doc_start", pa.int32()),
                        ("n_words", pa.int32())])
     overlap = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("matches", pa.list_(match))])
-    keep = [c for c in df.columns if c != "overlap"]
+    keep = [c for c in df.columns if c != into]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not ready:
@@ -187,17 +187,16 @@ def find_overlaps(
                     rows.append({"n_words": len(doc), "n_hit": n_hit, "matches": [
                         dict(zip(("item_id", "item_start", "doc_start", "n_words"), m)) for m in matches]})
             columns = [batch.column(c) for c in keep] + [pa.array(rows, overlap)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "overlap"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, into])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "overlap")
-    schema = (fields + ", " if fields else "") + f"overlap struct<n_words:bigint,n_hit:bigint,matches:array<{MATCH}>>"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != into)
+    schema = (fields + ", " if fields else "") + f"`{into}` struct<n_words:bigint,n_hit:bigint,matches:array<{MATCH}>>"
     return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(search, schema)
 
 
 def remove_contaminated(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` without any benchmark window, all columns as they were."""
-    found = find_overlaps(df, benchmark, **options)
-    return found.where(F.col("overlap.n_hit") == 0).select(*[F.col(f"`{c}`") for c in df.columns if c != "overlap"])
+    return find_overlaps(df, benchmark, into="__overlap", **options).where("__overlap.n_hit = 0").drop("__overlap")
 
 
 def items_digest(items: list[str]) -> str:

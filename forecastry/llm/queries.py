@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastry.llm import decontam, neardup, packing, pii, tokens
+from forecastry.llm import decontam, neardup, packing, pii, quality, tokens, toxicity
 from forecastry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,15 @@ def op1_pii(spark, sf):
     return pii.find(table(spark, sf, "documents"))
 
 
+def op2_toxicity(spark, sf):
+    """A chain over the labels: low quality, toxic, and both at once."""
+    labels = table(spark, sf, "labels").select(
+        "doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic",
+        ((1 - F.col("quality")) * F.col("toxic")).alias("toxic_low_quality"),
+    )
+    return toxicity.score(table(spark, sf, "documents"), labels, ["low_quality", "toxic", "toxic_low_quality"])
+
+
 def op4_token_counts(spark, sf):
     """Tokens of every document by the word-end vocabulary, limit 2048."""
     return tokens.token_counts(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
@@ -30,6 +39,14 @@ def op5_packing(spark, sf):
     return packing.pack_pieces(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"), window=1024)
 
 
+def op6_quality(spark, sf):
+    """Every document's perplexity under the model of the documents labelled
+    good, its language's limits, and the decision."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs, table(spark, sf, "labels").where("quality = 1").select("doc_id"))
+    return judged.select("doc_id", "lang", "quality.*")
+
+
 def op7_packed_matrices(spark, sf):
     """The packed id matrices: one row of 2048 ids per sequence, with segment
     lengths, position resets and the documents they come from."""
@@ -58,8 +75,10 @@ def op10_near_duplicates(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_packed_matrices": op7_packed_matrices,
     "op9_decontamination": op9_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
