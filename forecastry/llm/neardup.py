@@ -38,7 +38,7 @@ from xxhash import xxh3_64_intdigest
 
 from forecastry.llm.common import LOWER, id_and_text
 from forecastry.llm.graph import connected_components
-from forecastry.session import scratch_path
+from forecastry.session import drop_scratch, scratch_path
 
 HASHES = 64
 TREES = 16
@@ -288,11 +288,13 @@ def near_duplicates(
         "set_key", F.coalesce("root", "node").alias("found")
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return (
+    found = (
         sigs.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id") == F.col("component_id"))
-    )
+    ).checkpoint()
+    drop_scratch(spark, base)
+    return found
 
 
 def drop_near_duplicates(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", **options) -> DataFrame:

@@ -321,12 +321,14 @@ def encode_windows(windows: list[tuple[str, list[Span]]]) -> tuple[np.ndarray, n
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> dict | None:
-    """Train on the ``train_docs`` texts with a digit or ``@`` that come first
-    by hash: at most ``train_docs * (TRAIN_WINDOWS + 2) * 4`` short windows reach the driver."""
-    sample = (
-        id_and_text(df, id_col, text_col).where(F.col("text").rlike("[0-9@]")).select("text")
-        .orderBy(F.xxhash64("text"), F.substring("text", 1, 64)).limit(train_docs)
-    )
+    """Train on the ``train_docs`` distinct texts with a digit or ``@`` that come
+    first by hash: at most ``train_docs * (TRAIN_WINDOWS + 2) * 4`` short windows
+    reach the driver.  Only hashes are ranked; texts are read for the chosen."""
+    some = id_and_text(df, id_col, text_col).where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
+    last = some.select("h").distinct().orderBy("h").limit(train_docs).agg(F.max("h")).first()[0]
+    if last is None:
+        return None
+    sample = some.where(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastry.llm import decontam, neardup, packing, pii, quality, tokens, toxicity
+from forecastry.llm import ann, decontam, neardup, packing, pii, quality, tokens, toxicity, warc
 from forecastry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,17 @@ def op2_toxicity(spark, sf):
     return toxicity.score(table(spark, sf, "documents"), labels, ["low_quality", "toxic", "toxic_low_quality"])
 
 
+def op3_fixity(spark, sf):
+    """All pages as an archive and a replica of it in which, by a rule on the
+    page id, some records have one byte changed and some are lost: the audit
+    names exactly those."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    changed = F.concat(F.lit("~"), F.expr("substring(html, 2)"))
+    ascii_first = F.octet_length(F.substring("html", 1, 1)) == 1
+    replica = pages.withColumn("html", F.when((F.col("page_id") % 97 == 13) & ascii_first, changed).otherwise(F.col("html")))
+    return warc.audit(warc.leaves(pages), warc.leaves(replica, lost=F.col("page_id") % 389 == 7))
+
+
 def op4_token_counts(spark, sf):
     """Tokens of every document by the word-end vocabulary, limit 2048."""
     return tokens.token_counts(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
@@ -53,6 +64,11 @@ def op7_packed_matrices(spark, sf):
     return packing.pack_matrices(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"), window=2048)
 
 
+def op8_nearest(spark, sf):
+    """The 20 nearest of all vectors to each whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf, "embeddings"), k=20, query_every=20)
+
+
 def op9_decontamination(spark, sf):
     """Benchmark windows of ten words in every document."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -76,15 +92,32 @@ def op10_near_duplicates(spark, sf):
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
+    "op3_fixity": op3_fixity,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_packed_matrices": op7_packed_matrices,
+    "op8_nearest": op8_nearest,
     "op9_decontamination": op9_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_nearest": """
+WITH v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT * FROM (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score FROM s
+) WHERE rank <= 20
+""",
     "op9_decontamination": r"""
 WITH d AS (
     SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
