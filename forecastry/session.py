@@ -48,8 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and hand-over tables.
 
     Reads ``spark.checkpoint.dir`` (or an already set checkpoint dir).  Only a
-    ``local[...]`` session without one gets a fresh temporary folder (tests);
-    on a cluster a missing setting is an error, never a machine-local folder.
+    single-process ``local`` or ``local[...]`` session without one gets a fresh
+    temporary folder (tests); with executors of its own (``local-cluster``
+    among them) a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,7 +58,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a shared folder: scratch tables must be visible to every executor"
             )
@@ -72,6 +73,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by :func:`scratch_path`, on whatever store it is.
+
+    Only inside the checkpoint folder: nothing else is ever deleted.
+    """
+    if not path.startswith(checkpoint_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not in the scratch folder")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder and reading it back.
