@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecastry.session import checkpoint_root
+
 # ASCII upper case to lower case, nothing else.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -17,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, its lineage cut."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator works on, under names of its own, so
     that extra columns of the input (whatever they are called) cannot clash."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecastry.llm.common import checkpointed
+
 MAX_ROUNDS = 60
 
 
@@ -21,9 +23,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     its rows never grow beyond the links.  A round ends in a checkpoint, so a
     lost executor costs one round.  It stops when a round changes nothing.
     """
-    edges = (
+    edges = checkpointed(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    ).checkpoint()
+    )
     before = _state(edges)
     for _ in range(MAX_ROUNDS):
         # large star: neighbours above a node move to its least neighbour
@@ -33,7 +35,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         # small star: a node and its lower neighbours move to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = small.union(low.select("a", F.col("m").alias("b"))).distinct().checkpoint()
+        edges = checkpointed(small.union(low.select("a", F.col("m").alias("b"))).distinct())
         now = _state(edges)
         if now == before:
             break

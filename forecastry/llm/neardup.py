@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from forecastry.llm.common import LOWER, id_and_text
+from forecastry.llm.common import LOWER, checkpointed, id_and_text
 from forecastry.llm.graph import connected_components
 from forecastry.session import drop_scratch, scratch_path
 
@@ -288,11 +288,11 @@ def near_duplicates(
         "set_key", F.coalesce("root", "node").alias("found")
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    found = (
+    found = checkpointed(
         sigs.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id") == F.col("component_id"))
-    ).checkpoint()
+    )
     drop_scratch(spark, base)
     return found
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecastry.llm.common import id_and_text
+from forecastry.llm.common import checkpointed, id_and_text
 from forecastry.llm.decontam import words
 
 SAMPLE = 8_000
@@ -131,7 +131,7 @@ def fit(df: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "
                           *[F.col(c).cast("double").alias(f"y{k}") for k, c in enumerate(categories)]).dropna()
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", *[f"y{k}" for k in range(len(categories))]).limit(SAMPLE)
     sample = sample.dropDuplicates(["doc_id"])
-    docs = id_and_text(df, id_col, text_col).join(F.broadcast(sample), "doc_id").checkpoint()
+    docs = checkpointed(id_and_text(df, id_col, text_col).join(F.broadcast(sample), "doc_id"))
     ys = [f"y{k}" for k in range(len(categories))]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

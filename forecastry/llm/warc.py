@@ -27,6 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forecastry.llm.common import checkpointed
+
 FANOUT = 16
 LEVELS = 2  # above the leaves; FANOUT ** LEVELS records fill a segment
 SEGMENT_RECORDS = FANOUT**LEVELS
@@ -90,10 +92,10 @@ def tree(records: DataFrame) -> list[DataFrame]:
         children = F.array_sort(F.collect_list(F.struct("node", "digest")))
         named = F.transform(children, lambda c: F.concat_ws(":", c["node"].cast("string"), c["digest"]))
         levels.append(
-            levels[-1].groupBy("segment", F.expr(f"node div {FANOUT}").alias("parent")).agg(
+            checkpointed(levels[-1].groupBy("segment", F.expr(f"node div {FANOUT}").alias("parent")).agg(
                 F.sha2(F.concat_ws(",", named), 256).alias("digest"), F.min("first").alias("first"),
                 F.max("after").alias("after"),
-            ).withColumnRenamed("parent", "node")
+            ).withColumnRenamed("parent", "node"))
         )
     return levels
 
@@ -109,7 +111,7 @@ def differing(a: DataFrame, b: DataFrame) -> DataFrame:
 def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     """Records that differ between two replicas' leaves: page_id, segment,
     record_no, offset, length and status (corrupt, or lost in a or b)."""
-    a, b = a.checkpoint(), b.checkpoint()
+    a, b = checkpointed(a), checkpointed(b)
     tree_a, tree_b = tree(a), tree(b)
     bad = differing(tree_a[LEVELS], tree_b[LEVELS])
     for level in range(LEVELS - 1, -1, -1):
