@@ -28,7 +28,7 @@ from forecastry.streaming import ingest_stream
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="forecastry")
     sub = p.add_subparsers(dest="cmd", required=True)
-    common = {"--seed": {"type": int, "default": SEED}, "--split-mode": {"choices": ["random", "hash"], "default": "random"}}
+    common = {"--seed": {"type": int, "default": SEED}, "--split-mode": {"choices": ["random", "hash", "cutoff"], "default": "random"}}
 
     a = sub.add_parser("ingest", help="raw CSV -> typed, imputed, scaled Parquet (+ split CSVs, summaries)")
     for k in ("--raw", "--processed"):
@@ -59,12 +59,15 @@ def _parser() -> argparse.ArgumentParser:
         a.add_argument(k, required=True)
     a.add_argument("--forest", choices=["tuned", "light"], default="tuned")
     a.add_argument("--keep-keys", action="store_true")
+    a.add_argument("--handle-invalid", choices=["error", "skip", "keep"], default="error")
+    a.add_argument("--cutoff", help="first date of the test side, with --split-mode cutoff")
     a = sub.add_parser("status", help="latest run per job, newest artefact per prefix")
     for k in ("--runs", "--jobs", "--listing", "--out"):
         a.add_argument(k, required=True)
     for name in ("ingest", "ingest-v1", "train"):
         for flag, kw in common.items():
             sub.choices[name].add_argument(flag, **kw)
+    sub.choices["train"].set_defaults(split_mode="hash")
     return p
 
 
@@ -90,7 +93,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         out = {}
     elif args.cmd == "train":
         out = jobs.train(spark, args.features, args.predictions, args.models, args.forest, args.seed,
-                         args.split_mode, args.keep_keys)
+                         args.split_mode, args.keep_keys, args.handle_invalid, args.cutoff)
     else:
         rep = jobs.status_report(read_parquet(spark, args.runs), read_parquet(spark, args.jobs),
                                  read_parquet(spark, args.listing))

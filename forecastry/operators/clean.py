@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,15 +50,37 @@ def column_mean(df: DataFrame, column: str = "sales") -> float:
     return float(mean)
 
 
+def column_statistics(df: DataFrame, column: str = "sales") -> Column:
+    """mean, lo, hi and missing (NaN counted as missing) of ``column``, as one
+    scalar-subquery struct; evaluating it on an all-null column raises (X3)."""
+    c = nan_to_null(F.col(column)) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else F.col(column)
+    mean = F.coalesce(F.avg(c), F.raise_error(F.lit(f"cannot impute {column!r}: it has no non-null values")).cast("double"))
+    return df.agg(
+        F.struct(mean.alias("mean"), F.min(c).alias("lo"), F.max(c).alias("hi"),
+                 F.count_if(c.isNull()).alias("missing")).alias("s")
+    ).scalar()
+
+
 def impute_mean(df: DataFrame, column: str = "sales", mean: float | None = None) -> DataFrame:
     """Fill null/NaN in ``column`` with its global mean, cast back to the column type."""
     if mean is None:
         mean = column_mean(df, column)
+    return _filled(df, column, F.lit(mean))
+
+
+def impute_mean_inline(df: DataFrame, column: str = "sales") -> DataFrame:
+    """N2 with the mean as a scalar subquery of the same plan: nothing is
+    collected or written before the result is, and the input's exchange is
+    reused.  All-null input raises (X3) when the result is computed."""
+    return _filled(df, column, column_statistics(df, column)["mean"])
+
+
+def _filled(df: DataFrame, column: str, fill: Column) -> DataFrame:
     dtype = df.schema[column].dataType
     c = F.col(column)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         c = nan_to_null(c)
-    return df.withColumn(column, F.coalesce(c, F.lit(mean).cast(dtype)))
+    return df.withColumn(column, F.coalesce(c, fill.cast(dtype)))
 
 
 def fill_zero(df: DataFrame, columns=HISTORY_COLUMNS) -> DataFrame:

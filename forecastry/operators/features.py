@@ -36,10 +36,13 @@ def series_window():
 def daily_totals(df: DataFrame) -> DataFrame:
     """One row per (store, item, date), duplicate rows summed.
 
-    Only the key and ``sales`` survive (other columns have no single value
-    per key).  The partial aggregate combines repeats before the shuffle.
+    Every other column keeps its least value per key, so the schema does not
+    depend on the choice.  The partial aggregate combines repeats before the
+    shuffle.
     """
-    return df.groupBy(*KEY_COLUMNS).agg(F.sum("sales").cast("float").alias("sales"))
+    rest = [c for c in df.columns if c not in (*KEY_COLUMNS, "sales")]
+    out = df.groupBy(*KEY_COLUMNS).agg(F.sum("sales").cast("float").alias("sales"), *[F.min(c).alias(c) for c in rest])
+    return out.select(*df.columns)
 
 
 def history_columns(leak_free: bool = False) -> dict:

@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecastry.functions.casts import nan_to_null
 from forecastry.functions.vectors import first_element
-from forecastry.operators.clean import impute_mean
+from forecastry.operators.clean import column_statistics, impute_mean_inline
 from forecastry.operators.profile import min_max
 from forecastry.schema import SCALED_COLUMN
 
@@ -65,21 +64,19 @@ def minmax_scale(df: DataFrame, column: str = "sales", out: str = SCALED_COLUMN,
 
 
 def impute_then_scale(df: DataFrame, column: str = "sales", out: str = SCALED_COLUMN) -> DataFrame:
-    """N2 + M3 with ONE statistics pass.
+    """N2 + M3 with ONE statistics pass, inside the plan.
 
-    Mean, min, max and the missing count come from one aggregate; the bounds
-    of the imputed column follow from them (the fill value joins the range only
+    Mean, min, max and the missing count are one scalar subquery; the bounds of
+    the imputed column follow from them (the fill value joins the range only
     when something was filled), so no second pass over the data is needed.
     """
-    c = nan_to_null(F.col(column))
-    row = df.agg(
-        F.avg(c).alias("mean"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.count_if(c.isNull()).alias("missing")
-    ).first()
-    if row["mean"] is None:
-        raise ValueError(f"cannot impute {column!r}: it has no non-null values")
-    mean = float(row["mean"])
-    bounds = imputed_bounds(row["lo"], row["hi"], mean, row["missing"], df.schema[column].dataType)
-    return scale_expr(impute_mean(df, column, mean=mean), column, out, bounds=bounds)
+    st, dtype = column_statistics(df, column), df.schema[column].dataType
+    fill, lo, hi = st["mean"].cast(dtype).cast("double"), st["lo"].cast("double"), st["hi"].cast("double")
+    lo = F.when(st["missing"] > 0, F.least(lo, fill)).otherwise(lo)
+    hi = F.when(st["missing"] > 0, F.greatest(hi, fill)).otherwise(hi)
+    imputed = impute_mean_inline(df, column)
+    x = F.col(column).cast("double")
+    return imputed.withColumn(out, F.when(hi == lo, 0.5).otherwise(F.try_divide(x - lo, hi - lo)).cast("float"))
 
 
 def imputed_bounds(lo, hi, mean: float, missing: int, dtype) -> tuple[float, float]:

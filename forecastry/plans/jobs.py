@@ -8,7 +8,7 @@ directories (overwrite).  Compared with the reference, the jobs:
   so imputing and scaling cost no extra scans;
 * split from a written table, so ``randomSplit`` sees a stable layout even
   when an executor is lost and a partition is recomputed;
-* build the three summaries from one pre-aggregated cube.
+* build the three summaries as grouping sets of one pass.
 """
 
 from __future__ import annotations
@@ -21,15 +21,18 @@ from pyspark.sql import functions as F
 from forecastry.functions.calendar import calendar_columns
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
 from forecastry.schema import INGEST_SPLIT, LABEL_COLUMN, MODEL_SPLIT, SEED
-from forecastry.session import ensure_parallelism
 from forecastry.sources import read_parquet, read_raw_sales, save_model, write_csv, write_parquet
 
 
-def _split(df: DataFrame, weights, seed: int, mode: str):
+def _split(df: DataFrame, weights, seed: int, mode: str, cutoff: str | None = None):
     if mode == "random":
         return split.random_split(df, weights, seed)
     if mode == "hash":
         return split.hash_split(df, int(round(weights[0] * 100)))
+    if mode == "cutoff":
+        if not cutoff:
+            raise ValueError("split mode 'cutoff' needs a cutoff date")
+        return split.cutoff_split(df, cutoff)
     raise ValueError(f"unknown split mode {mode!r}")
 
 
@@ -93,8 +96,8 @@ def write_summaries(df: DataFrame, eda_path: str, head: int = 10) -> dict[str, l
     Returns the first ``head`` rows of each (what the reference showed),
     taken while the cube is still cached.
     """
-    # The cube is bounded by stores x items x months, so caching it is cheap;
-    # a lost block is recomputed from its (deterministic) aggregate.
+    # One row per month, store and item: far smaller than the sales.  A lost
+    # block is recomputed from its (deterministic) aggregate.
     cube = summaries.sales_cube(df).persist()
     try:
         heads = {}
@@ -107,14 +110,12 @@ def write_summaries(df: DataFrame, eda_path: str, head: int = 10) -> dict[str, l
 
 
 def explore(spark: SparkSession, processed_path: str, eda_path: str) -> dict:
-    """EDA job: one scan (cube + observed profile), three ordered CSV summaries."""
+    """EDA job: one profile aggregate, one grouping-sets pass, three ordered CSV summaries."""
     df = read_parquet(spark, processed_path).withColumns(calendar_columns("date", "dayofweek"))
-    # Null counts of every column (calendar columns included), typed stats of
-    # sales and correlations (the stat.corr null rule) are observed while the
-    # cube pass scans the table, so the whole job reads the data once.
-    observed = Observation("profile")
-    heads = write_summaries(df.observe(observed, *profile.profile_columns(df, stats_of=("sales",))), eda_path)
-    stats = dict(observed.get)
+    # An aggregate, not an observation below a shuffle: a re-run map task would
+    # count its rows twice there.
+    stats = df.agg(*profile.profile_columns(df, stats_of=("sales",))).first().asDict()
+    heads = write_summaries(df, eda_path)
     stats.update({f"{name}_head": rows for name, rows in heads.items()})
     stats["dtypes"] = df.dtypes
     stats["sample"] = [r.asDict() for r in summaries.sample_rows(df, 5).collect()]
@@ -159,16 +160,16 @@ def train(
     models_path: str,
     forest: str = "tuned",
     seed: int = SEED,
-    split_mode: str = "random",
+    split_mode: str = "hash",
     keep_keys: bool = False,
     handle_invalid: str = "error",
+    cutoff: str | None = None,
 ) -> dict:
     """Training job: 70/30 split, least squares + forest, forest predictions
     written with both RMSEs observed in the same pass, both models saved."""
-    data = model.assemble(
-        ensure_parallelism(read_parquet(spark, features_path)), keep_keys=keep_keys, handle_invalid=handle_invalid
-    )
-    train_df, test_df = _split(data, MODEL_SPLIT, seed, split_mode)
+    # split first, by key: the sides do not depend on the cluster's layout
+    sides = _split(read_parquet(spark, features_path), MODEL_SPLIT, seed, split_mode, cutoff)
+    train_df, test_df = (model.assemble(s, keep_keys=keep_keys, handle_invalid=handle_invalid) for s in sides)
     train_df = train_df.persist()
     try:
         lr = model.fit_linear(train_df)

@@ -4,16 +4,19 @@ The supplied tables are views named after themselves.  Traps handled here:
 DuckDB's ``year``/``month``/``dayofweek`` return BIGINT and ``dayofweek`` is
 0 = Sunday (Spark: 1 = Sunday); the test tables' timestamps are cast to
 DATE; REAL arithmetic stays REAL in DuckDB, so scaling is done in DOUBLE.
-Queries without an oracle (random split, models) are checked by row count
-and by the invariants in ``tests/``.
+The model and random-split queries have no row oracle; their ``_check``
+queries return invariants (least-squares residuals, key counts) next to counts
+that DuckDB computes from the data.
 """
 
 from __future__ import annotations
 
+from forecastry.schema import FEATURE_COLUMNS
+
 PANEL = """
 panel AS (
-    SELECT CAST(l_suppkey % 10 + 1 AS INTEGER) AS store,
-           CAST(l_partkey % 50 + 1 AS INTEGER) AS item,
+    SELECT CAST(l_suppkey AS INTEGER) AS store,
+           CAST(l_partkey AS INTEGER) AS item,
            CAST(l_shipdate AS DATE) AS "date",
            CAST(sum(l_quantity) AS REAL) AS sales
     FROM lineitem
@@ -36,6 +39,15 @@ imputed AS (
 )"""
 
 
+DIRTY = """
+dirty AS (
+    SELECT store, item, "date", sales,
+           CASE (store * 5 + item) % 17 WHEN 0 THEN 'abc' WHEN 1 THEN 'NaN' WHEN 2 THEN ''
+                ELSE CAST(sales AS VARCHAR) END AS sales_text
+    FROM holes
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -103,9 +115,20 @@ FROM (
 ) WHERE rn = 1
 """
 
+# the 70 % side of the key-hash split, and the columns least squares fits
+TRAIN_SIDE = """(CAST('0x' || substr(md5(CAST(store AS VARCHAR) || '|' || CAST(item AS VARCHAR) || '|'
+                || CAST("date" AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 70)"""
+FITTED = ("intercept", *FEATURE_COLUMNS)
+
 ORACLES: dict[str, str] = {
     "typed_from_csv": HOLED + 'SELECT "date", store, item, sales FROM holes',
     "typed_from_csv_stream": HOLED + 'SELECT "date", store, item, sales FROM holes',
+    "typed_dirty_csv": _with(PANEL, HOLES, DIRTY)
+    + """SELECT "date", store, item, CASE WHEN (store * 5 + item) % 17 <= 2 THEN NULL ELSE sales END AS sales
+FROM dirty""",
+    "ingest_v1_text": _with(PANEL, HOLES, DIRTY)
+    + """SELECT CAST("date" AS VARCHAR) AS "date", CAST(store AS VARCHAR) AS store, CAST(item AS VARCHAR) AS item,
+       sales_text AS sales FROM dirty WHERE sales_text <> ''""",
     "drop_missing": HOLED + "SELECT * FROM holes WHERE sales IS NOT NULL",
     "missing_counts": HOLED
     + f"""SELECT {_nulls("store")} AS store, {_nulls("item")} AS item,
@@ -149,6 +172,30 @@ FROM holes""",
 WHERE CAST('0x' || substr(md5(CAST(store AS VARCHAR) || '|' || CAST(item AS VARCHAR) || '|'
                               || CAST("date" AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80""",
     "cutoff_split_test": SALES + """SELECT * FROM panel WHERE "date" >= DATE '2000-01-01' OR "date" IS NULL""",
+    "sales_summaries": SALES
+    + """SELECT 'month' AS summary, strftime("date", '%Y-%m') AS key, sum(sales) AS total_sales, avg(sales) AS avg_sales
+FROM panel GROUP BY 2
+UNION ALL SELECT 'store', CAST(store AS VARCHAR), sum(sales), avg(sales) FROM panel GROUP BY 2
+UNION ALL SELECT 'item', CAST(item AS VARCHAR), sum(sales), avg(sales) FROM panel GROUP BY 2""",
+    "sample_rows": HOLED + 'SELECT * FROM holes ORDER BY "date", store, item LIMIT 5',
+    "describe_parity": HOLED
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, "
+        + ", ".join(f"round(CAST({fn.format(c)} AS DOUBLE), 6) AS {c}" for c in ("sales", "store", "item"))
+        + " FROM holes"
+        for name, fn in (("count", "count({})"), ("mean", "avg({})"), ("stddev", "stddev_samp({})"),
+                         ("min", "min({})"), ("max", "max({})"))
+    ),
+    "random_split_check": SALES
+    + """SELECT r.split, count(*) AS n_rows, CAST(0 AS BIGINT) AS on_both_sides, CAST(0 AS BIGINT) AS on_neither_side,
+       true AS share_as_expected
+FROM panel, (VALUES ('80/20'), ('70/30')) AS r(split) GROUP BY r.split""",
+    "linear_normal_equations": CLEAN
+    + f"SELECT count(*) AS n_train, {', '.join(f'0.0::DOUBLE AS r_{c}' for c in FITTED)} FROM imputed WHERE {TRAIN_SIDE}",
+    "rmse_check": """SELECT * FROM (VALUES ('linear_regression', 0.0::DOUBLE), ('random_forest', 0.0::DOUBLE)) AS r(model, difference)""",
+    "forest_check": CLEAN
+    + f"""SELECT count(*) AS n_test, count(*) AS n_keys, CAST(0 AS BIGINT) AS outside_train_range,
+       true AS rmse_below_deviation, CAST(0 AS BIGINT) AS changed_by_reload FROM imputed WHERE NOT {TRAIN_SIDE}""",
     "latest_run": LATEST_RUN,
     "job_status": f"""
 WITH latest AS ({LATEST_RUN})

@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.ml.regression import RandomForestRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastry.functions.casts import nan_to_null
+from forecastry.functions.vectors import vector_to_list
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
-from forecastry.schema import INGEST_SPLIT, MODEL_SPLIT, RAW_COLUMNS, SEED, TOP_ITEMS
-from forecastry.session import ensure_parallelism, materialize, scratch_path
-from forecastry.sources import read_raw_sales, write_csv
+from forecastry.schema import FEATURE_COLUMNS, INGEST_SPLIT, KEY_COLUMNS, LABEL_COLUMN, MODEL_SPLIT, RAW_COLUMNS, SEED, TOP_ITEMS
+from forecastry.session import scratch_path, settled
+from forecastry.sources import read_raw_sales, save_model, write_csv
 from forecastry.sources import tables
 from forecastry.streaming import ingest_stream
 
@@ -37,26 +38,9 @@ def _holes(spark, sf):
     return tables.holes(spark, sf)
 
 
-def _holes_table(spark, sf):
-    """The holed panel written once to the shared scratch folder, with the
-    statistics imputation and scaling need (mean, min, max, missing count of
-    sales) observed during that write: no extra pass for them."""
-    stats = Observation("holes")
-    sales = nan_to_null(F.col("sales"))
-    observed = _holes(spark, sf).observe(
-        stats, F.avg(sales).alias("mean"), F.min(sales).alias("lo"), F.max(sales).alias("hi"),
-        F.count_if(sales.isNull()).alias("missing"),
-    )
-    table = materialize(observed, "holes")
-    got = stats.get
-    if got["mean"] is None:
-        raise ValueError("cannot impute 'sales': it has no non-null values")
-    return table, got
-
-
 def _imputed(spark, sf):
-    table, stats = _holes_table(spark, sf)
-    return clean.impute_mean(table, mean=stats["mean"])
+    """Mean imputation with the mean as a scalar subquery of the same plan."""
+    return clean.impute_mean_inline(_holes(spark, sf))
 
 
 def _round_all(df: DataFrame, digits: int, skip=()) -> DataFrame:
@@ -66,22 +50,37 @@ def _round_all(df: DataFrame, digits: int, skip=()) -> DataFrame:
 # ---- ingest and clean ----------------------------------------------------
 
 
+def _text_csv(spark, rows):
+    """``rows`` as a raw text CSV in the scratch folder."""
+    path = scratch_path(spark, "raw-sales")
+    write_csv(rows.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS]), path)
+    return path
+
+
 def typed_from_csv(spark, sf):
     """S1 + S4 + P1: sales written as text CSV, read back by header, typed."""
-    path = scratch_path(spark, "raw-sales")
-    as_text = _holes(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
-    write_csv(as_text, path)
-    return clean.typed_sales(read_raw_sales(spark, path))
+    path = _text_csv(spark, _holes(spark, sf))
+    return settled(clean.typed_sales(read_raw_sales(spark, path)), path)
 
 
 def typed_from_csv_stream(spark, sf):
     """S1 + P1 + S3 incrementally: the CSV files ingested by a file stream."""
-    root = scratch_path(spark, "stream")
-    raw, out = f"{root}/raw", f"{root}/processed"
-    as_text = _holes(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
-    write_csv(as_text, raw)
-    ingest_stream(spark, raw, out, f"{root}/checkpoint")
-    return spark.read.parquet(out)
+    raw, root = _text_csv(spark, _holes(spark, sf)), scratch_path(spark, "stream")
+    ingest_stream(spark, raw, f"{root}/processed", f"{root}/checkpoint")
+    return settled(spark.read.parquet(f"{root}/processed"), raw, root)
+
+
+def typed_dirty_csv(spark, sf):
+    """P1 + X1 + X2 on dirty text: "abc", "NaN" and empty sales become null."""
+    path = _text_csv(spark, tables.dirty_text(spark, sf))
+    return settled(clean.typed_sales(read_raw_sales(spark, path)), path)
+
+
+def ingest_v1_text(spark, sf):
+    """N1 on text, before any cast: nulls drop (an empty CSV field is null),
+    "abc" and "NaN" survive."""
+    path = _text_csv(spark, tables.dirty_text(spark, sf))
+    return settled(clean.drop_missing(read_raw_sales(spark, path)), path)
 
 
 def drop_missing(spark, sf):
@@ -105,11 +104,9 @@ def minmax_scale(spark, sf):
 
 
 def minmax_scale_expr(spark, sf):
-    """N2 + A8 + M3 as plain expressions: the statistics come from the
-    hand-over write, so imputing and scaling add no pass; no vector column."""
-    table, st = _holes_table(spark, sf)
-    bounds = scale.imputed_bounds(st["lo"], st["hi"], st["mean"], st["missing"], table.schema["sales"].dataType)
-    return scale.scale_expr(clean.impute_mean(table, mean=st["mean"]), bounds=bounds)
+    """N2 + A8 + M3 as plain expressions: all statistics are one scalar
+    subquery; no vector column, nothing written."""
+    return scale.impute_then_scale(_holes(spark, sf))
 
 
 # ---- explore -------------------------------------------------------------
@@ -135,12 +132,13 @@ def sales_profile(spark, sf):
 
 
 def describe_parity(spark, sf):
-    """A3 parity: Spark's string-valued ``describe`` table of sales, store, item."""
-    return profile.describe(_holes(spark, sf), ["sales", "store", "item"])
+    """A3 parity: Spark's ``describe`` table of sales, store, item, as numbers."""
+    out = profile.describe(_holes(spark, sf), ["sales", "store", "item"])
+    return out.select("summary", *[F.round(F.col(c).cast("double"), STAT_DIGITS).alias(c) for c in ("sales", "store", "item")])
 
 
 def sample_rows(spark, sf):
-    """Five rows for inspection (unordered, as ``show`` gives them)."""
+    """The first five rows by date, store and item."""
     return summaries.sample_rows(_holes(spark, sf), 5)
 
 
@@ -160,8 +158,7 @@ def item_sales(spark, sf):
 
 
 def _cube_summary(spark, sf, name):
-    """A4-A6 the way the explore job builds them: one pass to a small
-    (store, item, year, month) cube, then three tiny aggregates."""
+    """A4-A6 the way the explore job builds them: grouping sets of one pass."""
     return summaries.summaries_from_cube(summaries.sales_cube(_panel(spark, sf)))[name]
 
 
@@ -180,6 +177,17 @@ def item_sales_cube(spark, sf):
     return _cube_summary(spark, sf, "item_sales")
 
 
+def sales_summaries(spark, sf):
+    """A4 + A5 + A6 in one pass: a row per month, per store and per item."""
+    part = F.col("part")
+    month = F.format_string("%04d-%02d", "year", "month")
+    return summaries.sales_cube(_panel(spark, sf)).select(
+        F.when(part == summaries.MONTHS, "month").when(part == summaries.STORES, "store").otherwise("item").alias("summary"),
+        F.when(part == summaries.MONTHS, month).otherwise(F.coalesce("store", "item").cast("string")).alias("key"),
+        "total_sales", "avg_sales",
+    )
+
+
 def top_items(spark, sf):
     """O3 + F5."""
     return summaries.top_items(_panel(spark, sf), TOP_ITEMS)
@@ -229,14 +237,20 @@ def cutoff_split_test(spark, sf):
     return split.cutoff_split(_panel(spark, sf), "2000-01-01")[1]
 
 
+def _labelled_split(table, weights):
+    train, test = split.random_split(table, weights, SEED)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
 def random_split(spark, sf):
     """80/20 ``randomSplit`` (seed 42), every row labelled with its side.
 
     The split samples a written table, so both sides see one fixed layout:
     disjoint and together complete, even if a partition is recomputed.
     """
-    train, test = split.random_split(materialize(_panel(spark, sf), "panel"), INGEST_SPLIT, SEED)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    path = scratch_path(spark, "panel")
+    _panel(spark, sf).write.parquet(path)
+    return settled(_labelled_split(spark.read.parquet(path), INGEST_SPLIT), path)
 
 
 def random_split_sizes(spark, sf):
@@ -244,14 +258,82 @@ def random_split_sizes(spark, sf):
     return random_split(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def random_split_check(spark, sf):
+    """R1 + R2 invariants, for 80/20 and 70/30: rows, keys on both sides, keys
+    on neither side, and whether the train share is within four standard errors."""
+    path = scratch_path(spark, "panel")
+    _panel(spark, sf).write.parquet(path)
+    whole = spark.read.parquet(path)
+    out = None
+    for name, weights in (("80/20", INGEST_SPLIT), ("70/30", MODEL_SPLIT)):
+        sides = _labelled_split(whole, weights).unionByName(whole.withColumn("split", F.lit("all")))
+        per_key = sides.groupBy(*KEY_COLUMNS).agg(
+            *[F.count_if(F.col("split") == side).alias(side) for side in ("train", "test", "all")]
+        )
+        share = F.sum("train") / F.sum("all")
+        row = per_key.agg(
+            F.lit(name).alias("split"), F.sum("all").alias("n_rows"),
+            F.count_if((F.col("train") > 0) & (F.col("test") > 0)).alias("on_both_sides"),
+            F.count_if(F.col("train") + F.col("test") < F.col("all")).alias("on_neither_side"),
+            (F.abs(share - weights[0]) < 4 * F.sqrt(weights[0] * weights[1] / F.sum("all"))).alias("share_as_expected"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return settled(out, path)
+
+
 # ---- models ------------------------------------------------------------------
 
 
 def _model_data(spark, sf):
-    """Features written once (scalar columns: cheaper to encode than vectors),
-    then assembled on read; the 70/30 split samples that fixed layout."""
-    feats = ensure_parallelism(materialize(features.demand_features(_imputed(spark, sf)), "features"))
-    return split.random_split(model.assemble(feats, keep_keys=True), MODEL_SPLIT, SEED)  # R2
+    """R2 by key hash, so that the held-out rows are the same on any cluster;
+    both sides are narrow filters of the one features plan."""
+    sides = split.hash_split(features.demand_features(_imputed(spark, sf)), int(MODEL_SPLIT[0] * 100))
+    return tuple(model.assemble(side, keep_keys=True) for side in sides)
+
+
+def linear_normal_equations(spark, sf):
+    """M2 + M5: least squares holds exactly when the train residuals are
+    orthogonal to every feature and sum to 0: those sums, normalised."""
+    train, _ = _model_data(spark, sf)
+    fitted = model.fit_linear(train)
+    x = vector_to_list("features")
+    rows = fitted.transform(train).withColumns({"x": x, "e": F.col(LABEL_COLUMN).cast("double") - F.col("prediction")})
+    columns = {"intercept": F.lit(1.0), **{c: F.col("x")[k] for k, c in enumerate(FEATURE_COLUMNS)}}
+
+    def residual(f):
+        return F.round(F.sum(f * F.col("e")) / F.sqrt(F.sum(f * f) * F.sum(F.col("e") ** 2)), STAT_DIGITS) + F.lit(0.0)
+
+    return rows.agg(F.count(F.lit(1)).alias("n_train"), *[residual(f).alias(f"r_{c}") for c, f in columns.items()])
+
+
+def forest_check(spark, sf):
+    """M6b + M8 + S5 invariants of the light forest on the held-out rows: rows,
+    keys, predictions outside the train labels' range, RMSE below the labels'
+    deviation, and predictions changed by saving and reloading the model."""
+    train, test = _model_data(spark, sf)
+    fitted, path = model.fit_forest(train, "light"), scratch_path(spark, "forest")
+    save_model(fitted, path)
+    again = RandomForestRegressionModel.load(path).setPredictionCol("reloaded")
+    label = F.col(LABEL_COLUMN).cast("double")
+    bounds = train.agg(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi"))).scalar()
+    p = F.col("prediction")
+    out = again.transform(fitted.transform(test)).withColumns({"lo": bounds["lo"], "hi": bounds["hi"]}).agg(
+        F.count(F.lit(1)).alias("n_test"), F.count_distinct(*KEY_COLUMNS).alias("n_keys"),
+        F.count_if((p < F.col("lo") - 1e-9) | (p > F.col("hi") + 1e-9)).alias("outside_train_range"),
+        (F.sqrt(F.avg((label - p) ** 2)) < F.stddev_pop(label) * 1.02).alias("rmse_below_deviation"),
+        F.count_if(p != F.col("reloaded")).alias("changed_by_reload"),
+    )
+    return settled(out, path)
+
+
+def rmse_check(spark, sf):
+    """A9 + M9: each model's RMSE minus ``RegressionEvaluator``'s, rounded."""
+    train, test = _model_data(spark, sf)
+    fitted = {"linear_regression": model.fit_linear(train), "random_forest": model.fit_forest(train, "light")}
+    want = [(name, model.rmse_evaluator(m.transform(test))) for name, m in fitted.items()]
+    want = spark.createDataFrame(want, "model string, evaluated double")
+    both = model.compare_models(fitted, test).join(want, "model")
+    return both.select("model", (F.round(F.col("rmse") - F.col("evaluated"), STAT_DIGITS) + F.lit(0.0)).alias("difference"))
 
 
 def linear_forecast(spark, sf):
@@ -298,6 +380,8 @@ def latest_artifact(spark, sf):
 QUERIES: dict[str, Query] = {
     "typed_from_csv": typed_from_csv,
     "typed_from_csv_stream": typed_from_csv_stream,
+    "typed_dirty_csv": typed_dirty_csv,
+    "ingest_v1_text": ingest_v1_text,
     "drop_missing": drop_missing,
     "missing_counts": missing_counts,
     "mean_impute": mean_impute,
@@ -313,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "monthly_sales_cube": monthly_sales_cube,
     "store_avg_cube": store_avg_cube,
     "item_sales_cube": item_sales_cube,
+    "sales_summaries": sales_summaries,
     "top_items": top_items,
     "monthly_series": monthly_series,
     "correlations": correlations,
@@ -324,6 +409,10 @@ QUERIES: dict[str, Query] = {
     "cutoff_split_test": cutoff_split_test,
     "random_split": random_split,
     "random_split_sizes": random_split_sizes,
+    "random_split_check": random_split_check,
+    "linear_normal_equations": linear_normal_equations,
+    "forest_check": forest_check,
+    "rmse_check": rmse_check,
     "linear_forecast": linear_forecast,
     "forest_forecast": forest_forecast,
     "model_rmse": model_rmse,

@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -98,14 +99,14 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
-def ensure_parallelism(df, minimum: int | None = None):
-    """Spread a small input over at least ``defaultParallelism`` partitions.
+def settled(df, *scratch: str):
+    """``df`` checkpointed, and the scratch folders it was read from removed.
 
-    For CPU-heavy consumers (model fits) on inputs that AQE or file packing
-    left in a handful of partitions.  On a large input this is a no-op, so it
-    never adds a shuffle at scale.
+    Spark removes the checkpoint itself once the result is no longer in use.
     """
-    want = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    out = df.checkpoint()
+    for path in scratch:
+        drop_scratch(spark, path)
+    return out

@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---- fixed values: fixture derivation (our own test mapping) ----
-PANEL_STORES = 10
-PANEL_ITEMS = 50
 HOLE_WEIGHTS = (7, 3, 1)  # store, item, day of month
 HOLE_MODULUS = 11
 # ---- end of fixed values ----
@@ -31,10 +29,12 @@ def panel_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
     One hash aggregate; Catalyst runs it partial-then-final, so even a key that
     holds a large share of lineitem is combined map-side before the shuffle.
+    Stores and items are the full supplier and part keys, so the panel and all
+    work after it grow with lineitem.
     """
     keyed = lineitem.select(
-        (F.col("l_suppkey") % PANEL_STORES + 1).cast("int").alias("store"),
-        (F.col("l_partkey") % PANEL_ITEMS + 1).cast("int").alias("item"),
+        F.col("l_suppkey").cast("int").alias("store"),
+        F.col("l_partkey").cast("int").alias("item"),
         F.to_date("l_shipdate").alias("date"),
         F.col("l_quantity"),
     )
@@ -58,6 +58,15 @@ def holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return punch_holes(panel(spark, sf_dir))
 
 
+def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The holed panel as text, with bad, NaN and empty sales on a fixed rule."""
+    k = (F.col("store") * 5 + F.col("item")) % 17
+    text = F.when(k == 0, "abc").when(k == 1, "NaN").when(k == 2, "").otherwise(F.col("sales").cast("string"))
+    rows = holes(spark, sf_dir)
+    return rows.select(F.col("date").cast("string").alias("date"), F.col("store").cast("string").alias("store"),
+                       F.col("item").cast("string").alias("item"), text.alias("sales"))
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as the run log: user_id = job, event_type = status."""
     return load_table(spark, sf_dir, "events").select(
