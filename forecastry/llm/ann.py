@@ -9,7 +9,7 @@ its best estimates exactly, which gives a sure least score; then every vector
 whose estimate plus bound reaches that score is scored exactly.  Only those.
 
 The stated query set runs against all rows in blocks: rows are dealt evenly
-into blocks of about ``BLOCK_ROWS`` (by row number, so copies and hot ids
+into blocks of at most about ``BLOCK_ROWS`` (by row number, so copies and hot ids
 spread), queries into blocks of about ``BLOCK_QUERIES``, and a query block
 meets every row block by an equi-join on the row block's number.  A task holds
 one of each.  A query's best of each block are merged in a stream.
@@ -30,8 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 8192  # at most; fewer where vectors are long
+BLOCK_COMPONENTS = 1 << 22
 BLOCK_QUERIES = 1024
+SLICE = 128  # queries whose estimates are held at once
 BOUND = 2.5
 FIRST = 64  # estimates scored exactly before the bound is applied
 SCHEMA = "query_id long, rank int, vec_id long, score double"
@@ -70,16 +72,17 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def search_block(q_ids, q, ids, x, codes, centre, turn, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query id, ids, scores) of each query's k best in a block of rows."""
-    estimate, bound = estimates(q, *codes, centre, turn)
     for i in range(len(q)):
+        if i % SLICE == 0:
+            estimate, bound = estimates(q[i : i + SLICE], *codes, centre, turn)
         other = np.flatnonzero(ids != q_ids[i])
         if not len(other):
             continue
-        e = estimate[i, other]
+        e = estimate[i % SLICE, other]
         if len(other) > max(FIRST, k):
             first = other[np.argpartition(-e, max(FIRST, k))[: max(FIRST, k)]]
             least = np.partition(exact(q[i], x[first]), -k)[-k]
-            other = other[e + bound[i, other] >= least]
+            other = other[e + bound[i % SLICE, other] >= least]
         score = exact(q[i], x[other])
         best = np.lexsort((ids[other], -score))[:k]
         yield int(q_ids[i]), ids[other[best]], score[best]
@@ -153,7 +156,8 @@ def nearest(
         F.desc("n"), "d").first()
     if most is None or not most.q:
         return df.sparkSession.createDataFrame([], SCHEMA)
-    d, blocks, query_blocks = most.d, -(-most.n // BLOCK_ROWS), -(-most.q // BLOCK_QUERIES)
+    d, query_blocks = most.d, -(-most.q // BLOCK_QUERIES)
+    blocks = -(-most.n // max(256, min(BLOCK_ROWS, BLOCK_COMPONENTS // d)))
     rows = rows.where(F.size("v") == d)
     sums = rows.select(F.posexplode("v").alias("i", "c")).groupBy("i").agg(F.avg("c").alias("c")).orderBy("i").collect()
     centre = [r.c for r in sums]

@@ -1,0 +1,32 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from forecastry.session import get_session  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = get_session(app="forecastry-llm-tests", master="local[*]", shuffle_partitions=4)
+    yield s
+    s.stop()
+
+
+EDGES = [
+    (1, None), (2, ""), (3, "one"), (4, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"),
+    (6, "long " * 30_000), (7, "Ärger mit\tUmlauten, é <|endoftext|> \U0001f600 x"), (8, "   \n\t  "),
+]
+
+
+@pytest.fixture()
+def edges(spark):
+    """Edge-case documents, with extra columns whose names clash with the operators' own."""
+    rows = [(d, t, "en", "s", len(t or ""), 1, 2, None, "x") for d, t in EDGES]
+    schema = ("doc_id long, text string, lang string, source string, n_chars long, node int, cluster int, "
+              "overlap string, quality string")
+    return spark.createDataFrame(rows, schema)
