@@ -1,22 +1,9 @@
-import os
-import sys
+"""Shared cases; the session comes from the conftest above."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from forecastry.session import get_session  # noqa: E402
-
 SF = "/root/testdata/sf0.001"
 
-
-@pytest.fixture(scope="session")
-def spark():
-    s = get_session(app="forecastry-llm-tests", master="local[*]", shuffle_partitions=4)
-    yield s
-    s.stop()
-
-
 EDGES = [
     (1, None), (2, ""), (3, "one"), (4, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"),
     (6, "long " * 30_000), (7, "Ärger mit\tUmlauten, é <|endoftext|> \U0001f600 x"), (8, "   \n\t  "),

@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_cases import SF, edges  # noqa: F401
+
 from forecastry.llm import ann, graph, neardup, warc
 
 

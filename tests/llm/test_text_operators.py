@@ -6,7 +6,8 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import SF
+from llm_cases import edges  # noqa: F401
+
 from forecastry.llm import decontam, pii, quality, toxicity
 
 

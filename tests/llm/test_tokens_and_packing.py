@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from conftest import EDGES, SF
+from llm_cases import EDGES, SF, edges  # noqa: F401
+
 from forecastry.llm import packing, tokens
 
 WORD, BYTE = path("word_bpe_49k.json"), path("byte_bpe_50k.json")
