@@ -54,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--partition-by", nargs="*")
     a.add_argument("--unique-keys", choices=["trust", "sum"], default="trust")
     a.add_argument("--chunk-days", type=int)
+    a.add_argument("--pieces", type=int, help="cut the table into so many row ranges (hot series)")
     a = sub.add_parser("train", help="fit least squares + forest, RMSE, predictions, saved models")
     for k in ("--features", "--predictions", "--models"):
         a.add_argument(k, required=True)
@@ -89,7 +90,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         out = jobs.explore(spark, args.processed, args.eda)
     elif args.cmd == "features":
         jobs.build_features(spark, args.processed, args.features, args.leak_free, args.partition_by,
-                            args.unique_keys, args.chunk_days)
+                            args.unique_keys, args.chunk_days, args.pieces)
         out = {}
     elif args.cmd == "train":
         out = jobs.train(spark, args.features, args.predictions, args.models, args.forest, args.seed,

@@ -10,7 +10,9 @@ for five years), never by the data volume; volume only adds series, which the
 hash exchange spreads over tasks.  :func:`daily_totals` enforces the unique
 key (X12) with a partially-aggregated group-by when the input may repeat keys,
 and :func:`demand_features_chunked` splits long series into date chunks with a
-7-row halo, so no window task ever holds a whole series.
+7-row halo, so no window task ever holds a whole series;
+:func:`demand_features_ranged` splits at row ranges instead of dates, so
+repeated and undated rows are bounded too.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 
 from forecastry.functions.calendar import calendar_columns
 from forecastry.operators.clean import fill_zero
-from forecastry.schema import HISTORY_COLUMNS, KEY_COLUMNS, LONG_LAG, ROLLING_ROWS, SHORT_LAG
+from forecastry.schema import HISTORY_COLUMNS, KEY_COLUMNS, LONG_LAG, ROLLING_ROWS, SEED, SHORT_LAG
+from forecastry.session import settled
 
 
 def series_window():
@@ -85,10 +88,34 @@ def demand_features_chunked(df: DataFrame, chunk_days: int = 90, leak_free: bool
     front, and the halo rows are dropped.  Use it when single series are long
     enough to strain one task.
     """
-    key = ["store", "item"]
     chunk = F.floor(F.datediff(F.col("date"), F.lit("1970-01-01").cast("date")) / F.lit(chunk_days))
-    rows = df.withColumn("_chunk", chunk)
+    return _features_of_chunks(df.withColumn("_chunk", chunk), df.columns, leak_free)
+
+
+def series_pieces(df: DataFrame, pieces: int) -> DataFrame:
+    """``df`` and ``_chunk``: range-partitioned by (store, item, date, sales,
+    hash of the row) into ``pieces`` ranges, numbered in that order.
+
+    Repeated and undated rows are split by the hash, equal rows by a random
+    number.  Neither that number nor a chunk id may change when a task is run
+    again, so the rows are checkpointed before and after they are dealt.
+    """
+    order = [F.col(c) for c in ("store", "item", "date", "sales")]
+    dealt = settled(df).repartitionByRange(pieces, *order, F.xxhash64(*df.columns), F.rand(SEED))
+    return settled(dealt.withColumn("_chunk", F.spark_partition_id()))
 
+
+def demand_features_ranged(df: DataFrame, pieces: int | None = None, leak_free: bool = False) -> DataFrame:
+    """Same output as :func:`demand_features` for any series, however long and
+    however often it repeats a date or lacks one: a chunk is what one series
+    has in one of ``pieces`` ranges (default: the session's shuffle partitions)."""
+    n = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _features_of_chunks(series_pieces(df, n), df.columns, leak_free)
+
+
+def _features_of_chunks(rows: DataFrame, columns: list[str], leak_free: bool) -> DataFrame:
+    """Features of rows whose ``_chunk`` ascends with (date, sales) in a series."""
+    key = ["store", "item"]
     newest_first = Window.partitionBy(*key, "_chunk").orderBy(F.desc("date"), F.desc_nulls_last("sales"))
     tails = (
         rows.select(*key, "_chunk", "date", "sales")
@@ -106,7 +133,8 @@ def demand_features_chunked(df: DataFrame, chunk_days: int = 90, leak_free: bool
     )
     stacked = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
 
-    w = Window.partitionBy(*key, "_chunk").orderBy("date", "sales")
+    # halo rows first: at row ranges they may tie with the chunk's own
+    w = Window.partitionBy(*key, "_chunk").orderBy(F.desc("_halo"), "date", "sales")
     if leak_free:
         frame = w.rowsBetween(-ROLLING_ROWS, -1)
     else:
@@ -119,8 +147,8 @@ def demand_features_chunked(df: DataFrame, chunk_days: int = 90, leak_free: bool
     out = (
         stacked.withColumns(history)
         .filter(~F.col("_halo"))
-        .select(*df.columns, *history)
+        .select(*columns, *history)
         .withColumns(calendar_columns("date", "day_of_week"))
     )
-    ordered = [*df.columns, "year", "month", "day_of_week", *HISTORY_COLUMNS]
+    ordered = [*columns, "year", "month", "day_of_week", *HISTORY_COLUMNS]
     return fill_zero(out.select(*ordered), HISTORY_COLUMNS)

@@ -124,7 +124,7 @@ def explore(spark: SparkSession, processed_path: str, eda_path: str) -> dict:
 
 def build_features(spark: SparkSession, processed_path: str, features_path: str,
                    leak_free: bool = False, partition_by: list[str] | None = None,
-                   unique_keys: str = "trust", chunk_days: int | None = None) -> None:
+                   unique_keys: str = "trust", chunk_days: int | None = None, pieces: int | None = None) -> None:
     """Feature job: calendar, lag and rolling features (one Window), Parquet out.
 
     ``partition_by`` (for example ``["year", "month"]``) lets later jobs prune
@@ -133,7 +133,9 @@ def build_features(spark: SparkSession, processed_path: str, features_path: str,
 
     ``chunk_days`` computes the same features with each series cut into date
     chunks plus a 7-row halo, so no window task holds more than one chunk of
-    one series (:func:`features.demand_features_chunked`).
+    one series (:func:`features.demand_features_chunked`).  ``pieces`` cuts the
+    table into so many row ranges instead, which also bounds repeated and
+    undated rows (:func:`features.demand_features_ranged`).
 
     ``unique_keys="trust"`` (the reference's behaviour) takes one row per
     (store, item, date) as given.  ``"sum"`` first collapses repeated keys with
@@ -146,7 +148,9 @@ def build_features(spark: SparkSession, processed_path: str, features_path: str,
         df = features.daily_totals(df)
     elif unique_keys != "trust":
         raise ValueError(f"unique_keys must be 'trust' or 'sum', not {unique_keys!r}")
-    if chunk_days:
+    if pieces:
+        feats = features.demand_features_ranged(df, pieces=pieces, leak_free=leak_free)
+    elif chunk_days:
         feats = features.demand_features_chunked(df, chunk_days=chunk_days, leak_free=leak_free)
     else:
         feats = features.demand_features(df, leak_free=leak_free)

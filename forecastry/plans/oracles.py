@@ -166,6 +166,7 @@ FROM holes""",
     "correlations_null_as_zero": HOLED + f"SELECT {_corrs(True)} FROM holes",
     "demand_features": _features("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"),
     "demand_features_chunked": _features("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"),
+    "demand_features_ranged": _features("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"),
     "leak_free_features": _features("ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING"),
     "hash_split_train": SALES
     + """SELECT * FROM panel

@@ -222,6 +222,12 @@ def demand_features_chunked(spark, sf):
     return features.demand_features_chunked(_imputed(spark, sf), chunk_days=30)
 
 
+def demand_features_ranged(spark, sf):
+    """The flagship with each series cut at row ranges: no window partition
+    holds more than one range of one series, also where dates repeat or lack."""
+    return features.demand_features_ranged(_imputed(spark, sf))
+
+
 def leak_free_features(spark, sf):
     """X11 opt-in: rolling mean over the 7 rows before the current one."""
     return features.demand_features(_imputed(spark, sf), leak_free=True)
@@ -404,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "correlations_null_as_zero": correlations_null_as_zero,
     "demand_features": demand_features,
     "demand_features_chunked": demand_features_chunked,
+    "demand_features_ranged": demand_features_ranged,
     "leak_free_features": leak_free_features,
     "hash_split_train": hash_split_train,
     "cutoff_split_test": cutoff_split_test,

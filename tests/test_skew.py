@@ -7,7 +7,8 @@ group limit) rather than ship it whole to one task.
 
 from pyspark.sql import functions as F
 
-from forecastry.operators import status, summaries
+from forecastry.operators import features, status, summaries
+from forecastry.session import settled
 from forecastry.sources import tables
 from conftest import SMOKE, plan_text
 
@@ -50,3 +51,25 @@ def test_panel_aggregation_is_partial_first(spark):
     plan = plan_text(tables.panel(spark, SMOKE))
     # the map-side partial sum sits below the shuffle
     assert plan.index("partial_sum") > plan.index("Exchange hashpartitioning")
+
+
+def test_features_with_hot_series(spark):
+    """One series with a third of all rows, half of them undated, and one date
+    and sales repeated: equal to the plain window, in bounded pieces."""
+    panel = tables.panel(spark, SMOKE).select("store", "item", "date", "sales")
+    of_hash = F.xxhash64("store", "item", "date")
+    hot = of_hash % 3 == 0
+    rows = panel.select(
+        F.when(hot, 1).otherwise(F.col("store")).alias("store"), F.when(hot, 1).otherwise(F.col("item")).alias("item"),
+        F.when(hot & (of_hash % 2 == 0), F.lit(None)).when(hot & (of_hash % 5 == 0), F.lit("1995-01-01"))
+        .otherwise(F.col("date").cast("string")).cast("date").alias("date"), "sales",
+    )
+    rows = rows.union(rows.where("store = 1 and item = 1").limit(1).crossJoin(spark.range(300)).drop("id"))
+    rows = settled(rows)
+    for leak_free in (False, True):
+        plain = features.demand_features(rows, leak_free)
+        ranged = features.demand_features_ranged(rows, 16, leak_free)
+        assert ranged.columns == plain.columns
+        assert ranged.exceptAll(plain).count() == 0 and plain.exceptAll(ranged).count() == 0
+    sizes = [r["count"] for r in features.series_pieces(rows, 16).groupBy("store", "item", "_chunk").count().collect()]
+    assert max(sizes) <= 2 * rows.count() / 16
