@@ -10,7 +10,10 @@
    the rows with the longest common prefix; a row looks at the ``REACH`` rows
    before it, so its depth is ``PREFIX`` in a thin region and as deep as the
    ``REACH`` nearest share in a dense one.  Neighbours whose signatures agree
-   enough (six standard deviations below the threshold) are chained.
+   enough (six standard deviations below the threshold) are chained.  ``REACH``
+   is no cap: rows of a region with more of them, or cut by a partition's
+   border, are dealt anew by region and all their signatures compared there, a
+   region of more than ``REGION_ROWS`` rows in pairs of blocks.
 3. Chains of all trees are contracted to *clusters*: what one or more trees
    hold close.  Within a cluster every link is confirmed on full sets by an
    inverted index, and only as many links as keep the components are sent on.
@@ -45,6 +48,7 @@ TREES = 16
 PREFIX = 3
 REACH = 12
 CLUSTER_SHINGLES = 1_000_000
+REGION_ROWS = 65_536
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -118,40 +122,132 @@ def signatures(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
 
 
 def chains(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (tree, key, rest) to links between close neighbours:
-    each run of neighbours to its first row, and runs to one another."""
+    """Rows sorted by (tree, key, rest) to links (a, b) between close neighbours:
+    each run of neighbours to its first row, and runs to one another.
+
+    The rows of a region (one tree and key) whose pairs were perhaps not all
+    compared come out too, as (a, null, tree, key, rest): regions of more than
+    REACH + 1 rows, and the first and last of the partition, which its border may cut."""
     tree = key = node = np.empty(0, np.int64)
     sig = np.empty((0, HASHES), np.uint8)
-    for batch in batches:
-        carried = len(node)
-        tree = np.concatenate([tree, np.asarray(batch.column("tree"))])
-        key = np.concatenate([key, np.asarray(batch.column("key"))])
-        node = np.concatenate([node, np.asarray(batch.column("node"))])
-        new = b"".join(v.as_py() for v in batch.column("rest"))
-        sig = np.concatenate([sig, np.frombuffer(new, np.uint8).reshape(-1, HASHES)])
+
+    def region_starts() -> np.ndarray:
+        return np.flatnonzero(np.concatenate([[True], (tree[1:] != tree[:-1]) | (key[1:] != key[:-1])]))
+
+    def compared(n: int, first: bool, last: bool) -> pa.RecordBatch:
+        """The first ``n`` rows, which end with a region."""
 
         def close(lag: int) -> np.ndarray:
             """Rows that are close to the row ``lag`` before."""
-            i = np.arange(max(lag, 1), len(node))
+            i = np.arange(lag, n)
             i = i[(tree[i] == tree[i - lag]) & (key[i] == key[i - lag])]
             return i[(sig[i] == sig[i - lag]).sum(1) >= least]
 
-        first = close(1)
-        joined = np.zeros(len(node), bool)
-        joined[first] = True
+        after = close(1)
+        joined = np.zeros(n, bool)
+        joined[after] = True
         run = np.cumsum(~joined) - 1
         head = np.flatnonzero(~joined)
-        a, b = [node[first]], [node[head[run[first]]]]
-        for lag in range(2, min(REACH, len(node) - 1) + 1):
+        a, b = [node[after]], [node[head[run[after]]]]
+        for lag in range(2, min(REACH, n - 1) + 1):
             i = close(lag)
-            i = i[(run[i] != run[i - lag]) & (i >= carried)]
+            i = i[run[i] != run[i - lag]]
             if len(i):
-                _, one = np.unique(run[i] * len(node) + run[i - lag], return_index=True)
+                _, one = np.unique(run[i] * n + run[i - lag], return_index=True)
                 a.append(node[i[one]])
                 b.append(node[i[one] - lag])
         a, b = np.concatenate(a), np.concatenate(b)
-        yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
-        tree, key, node, sig = (x[-REACH:] for x in (tree, key, node, sig))
+        a, b = a[a != b], b[a != b]
+        starts = region_starts()
+        size = np.diff(np.append(starts[starts < n], n))
+        rest = size > REACH + 1
+        rest[0] |= first
+        rest[-1] |= last
+        rest = np.flatnonzero(np.repeat(rest & (size > (0 if first or last else 1)), size))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([a, node[rest]])),
+             pa.array(np.concatenate([b, np.zeros(len(rest), np.int64)]), mask=np.arange(len(a) + len(rest)) >= len(a)),
+             *(pa.array(np.concatenate([np.zeros(len(a), np.int64), x[rest]])) for x in (tree, key)),
+             pa.array([None] * len(a) + [row.tobytes() for row in sig[rest]], pa.binary())],
+            names=["a", "b", "tree", "key", "rest"],
+        )
+
+    first = True
+    for batch in batches:
+        tree = np.concatenate([tree, np.asarray(batch.column("tree"))])
+        key = np.concatenate([key, np.asarray(batch.column("key"))])
+        node = np.concatenate([node, np.asarray(batch.column("node"))])
+        new = b"".join(v.as_py() for v in batch.column("rest"))
+        sig = np.concatenate([sig, np.frombuffer(new, np.uint8).reshape(-1, HASHES)])
+        n = region_starts()[-1] if len(node) else 0
+        if n:
+            yield compared(n, first, False)
+            first = False
+            tree, key, node, sig = (x[n:] for x in (tree, key, node, sig))
+    if len(node):
+        yield compared(len(node), first, True)
+
+
+def region_links(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (tree, key, i, j) to the links of each group, every pair
+    of whose signatures counts; one group is held.
+
+    A row is compared with all others; once all that were not compared yet are
+    in one component, no pair is left that could join two."""
+    group, nodes, parts = None, [], []
+
+    def links() -> Iterator[pa.RecordBatch]:
+        node = np.array(nodes, np.int64)
+        sig = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, HASHES)
+        n = len(node)
+        label, waiting = np.arange(n), np.ones(n, bool)
+        while waiting.any():
+            left = np.flatnonzero(waiting)
+            counts = np.bincount(label[left], minlength=n)
+            if np.count_nonzero(counts) == 1:
+                break
+            # outside the largest component first
+            i = left[0] if len(left) == n else left[label[left] != counts.argmax()][0]
+            waiting[i] = False
+            labels = np.unique(label[(sig == sig[i]).sum(1) >= least])
+            if len(labels) > 1:
+                label[np.isin(label, labels)] = labels[0]
+        root = node[label]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node[node != root]), pa.array(root[node != root])], names=["a", "b"]
+        )
+
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("tree", "key", "i", "j", "node", "rest")), strict=True)
+        for *at, node, rest in keys:
+            if at != group:
+                if len(nodes) > 1:
+                    yield from links()
+                group, nodes, parts = at, [], []
+            nodes.append(node)
+            parts.append(rest)
+    if len(nodes) > 1:
+        yield from links()
+
+
+def in_block_pairs(rows: DataFrame, key: list[str], weights: DataFrame) -> DataFrame:
+    """``rows`` (``node`` among them) with block numbers (i, j): a key of ``blocks``
+    blocks in ``weights`` is cut by node, and its rows go to every pair of blocks
+    they take part in, so that all pairs of the key's rows meet somewhere."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
+        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("own"))
+    )
+    return (
+        rows.join(weights, key).withColumn("own", own)
+        .select(*rows.columns, "own", F.explode(other).alias("k"))
+        .select(*rows.columns, F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"))
+    )
+
+
+def block_count(weight, largest: int):
+    """1, or beyond ``largest`` so many blocks that two of them weigh about ``largest``."""
+    return F.when(weight <= largest, 1).otherwise(F.ceil(2 * weight / largest)).cast("int").alias("blocks")
 
 
 def forest_links(classes: DataFrame, threshold: float) -> DataFrame:
@@ -162,9 +258,19 @@ def forest_links(classes: DataFrame, threshold: float) -> DataFrame:
         F.col("tree").cast("long").alias("tree"), "key", "node", F.expr(rest).alias("rest")
     )
     order = ["tree", "key", "rest", "node"]
-    return (
+    found = checkpointed(
         rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(lambda batches: chains(batches, least), "a long, b long")
+        .mapInArrow(lambda batches: chains(batches, least), "a long, b long, tree long, key long, rest binary")
+    )
+    region = ["tree", "key"]
+    dense = found.where("b is null").select(*region, F.col("a").alias("node"), "rest")
+    sizes = dense.groupBy(*region).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        *region, block_count(F.col("n"), REGION_ROWS)
+    )
+    group = [*region, "i", "j"]
+    return found.where("b is not null").select("a", "b").union(
+        in_block_pairs(dense, region, sizes).repartition(*group).sortWithinPartitions(*group)
+        .mapInArrow(lambda batches: region_links(batches, least), "a long, b long")
     )
 
 
@@ -265,18 +371,9 @@ def near_duplicates(
     weights = (
         clusters.join(classes.select("node", "n_shingles"), "node")
         .groupBy("cluster").agg(F.sum("n_shingles").alias("w"))
-        .select("cluster", F.when(F.col("w") <= CLUSTER_SHINGLES, 1)
-                .otherwise(F.ceil(2 * F.col("w") / CLUSTER_SHINGLES)).cast("int").alias("blocks"))
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("own"))
-    )
-    members = (
-        clusters.join(weights, "cluster").withColumn("own", own)
-        .select("node", "cluster", "own", F.explode(other).alias("k"))
-        .select("node", "cluster", F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"))
+        .select("cluster", block_count(F.col("w"), CLUSTER_SHINGLES))
     )
+    members = in_block_pairs(clusters, ["cluster"], weights)
     group = ["cluster", "i", "j"]
     links = (
         docs.join(members, docs.doc_id == members.node).select(*group, "node", "text")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -61,6 +62,57 @@ def test_large_clusters_in_blocks_find_the_same(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, 0.85).collect()} == brute_components(rows)
 
 
+def test_large_regions_in_blocks_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "REGION_ROWS", 8)
+    rows = list(enumerate(near_copies(10, 40) + near_copies(11, 30)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, 0.85).collect()} == brute_components(rows)
+
+
+def joined(n, links):
+    label = list(range(n))
+    for a, b in links:
+        label = [label[b] if x == label[a] else x for x in label]
+    return {frozenset(i for i in range(n) if label[i] == x) for x in label}
+
+
+@pytest.mark.parametrize("batch_rows, borders", [(1000, []), (7, []), (50, [60, 130])])
+def test_regions_lose_no_pair_beyond_reach_or_borders(batch_rows, borders):
+    """Regions far larger than REACH whose close rows are not neighbours."""
+    r = np.random.RandomState(5)
+    rows = []
+    for key, centres in ((1, 9), (2, 1), (3, 25)):
+        base = r.randint(0, 256, (centres, neardup.HASHES))
+        for i in range(80 if centres > 1 else 5):
+            sig = base[i % centres].copy()
+            sig[r.randint(0, neardup.HASHES, 14)] = r.randint(0, 256, 14)  # leading values differ: sorted far apart
+            rows.append((key, sig.astype(np.uint8).tobytes()))
+    rows = [(0, key, rest, node) for node, (key, rest) in enumerate(rows)]
+    rows.sort()
+    least = 40
+    sigs = np.array([np.frombuffer(x[2], np.uint8) for x in rows])
+    close = ((sigs[:, None] == sigs[None]).sum(2) >= least) & np.equal.outer(*[[x[1] for x in rows]] * 2)
+    want = joined(len(rows), [(rows[i][3], rows[j][3]) for i, j in zip(*np.nonzero(np.triu(close, 1)))])
+
+    def batches(part, names):
+        for k in range(0, len(part), batch_rows):
+            yield pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in part[k : k + batch_rows]])
+
+    links, dense = [], []
+    for lo, hi in zip([0, *borders], [*borders, len(rows)]):
+        for out in neardup.chains(batches(rows[lo:hi], ("tree", "key", "rest", "node")), least):
+            for x in out.to_pylist():
+                if x["b"] is None:
+                    dense.append((x["tree"], x["key"], 0, 0, x["a"], x["rest"]))
+                else:
+                    links.append((x["a"], x["b"]))
+    dense.sort()
+    assert joined(len(rows), links) != want  # the neighbours alone do not find all
+    for out in neardup.region_links(batches(dense, ("tree", "key", "i", "j", "node", "rest")), least):
+        links += [(x["a"], x["b"]) for x in out.to_pylist()]
+    assert joined(len(rows), links) == want
+
+
 def test_near_duplicate_edges(spark, edges):
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(edges, 0.85).collect()}
     assert {(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True), (4, 2, 4, True), (5, 2, 4, False),
