@@ -141,6 +141,23 @@ def test_quality_keeps_trusted_text_and_rejects_junk(spark, edges):
     assert quality.keep_accepted(edges.limit(0), none).count() == 0
 
 
+def test_quality_keeps_clean_text_of_languages_without_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    good = labels.where("quality = 1").join(docs, "doc_id")
+    few = [r.doc_id for r in good.where("lang = 'es'").orderBy("doc_id").limit(20).collect()]
+    trusted = good.where(good.lang.isin("en", "de") | good.doc_id.isin(few)).select("doc_id")
+    # French is not labelled, Spanish hardly; some French has no language, some another, rare one
+    lang = "CASE WHEN lang = 'fr' AND doc_id % 5 = 0 THEN NULL WHEN lang = 'fr' AND doc_id % 5 = 1 THEN 'oc' ELSE lang END"
+    judged = quality.judge(docs.selectExpr("doc_id", "text", f"{lang} AS lang"), trusted)
+    got = judged.join(labels.withColumnRenamed("quality", "label"), "doc_id").selectExpr(
+        "lang", "label", "quality.accepted").toPandas()
+    for k in ("fr", "oc", "es"):
+        assert got[(got.lang == k) & (got.label == 1)].accepted.mean() > 0.99, k
+    assert got[got.lang.isna() & (got.label == 1)].accepted.all()
+    assert got[got.lang.isin(["fr", "es"]) & (got.label == 0)].accepted.mean() < 0.5
+
+
 def test_toxicity_chain_on_held_out_rows(spark):
     r = np.random.RandomState(3)
     rows = []
