@@ -4,8 +4,11 @@ Rules give the *base* spans (email, ip, card, phone).  A character-level
 bidirectional LSTM with CRF transitions, trained in numpy on a bounded,
 hash-ordered sample of labelled windows, adds spans that the rules miss
 (spaced, re-punctuated or defanged forms).  Its windows overlap by half; every
-window is decoded alone, then one weighted interval schedule over the whole
-document picks the best non-overlapping spans.
+window is decoded alone.  Where a span is cut by a window's edge, the window is
+decoded again with ``SIDES`` characters more on both sides, until the span is
+whole; so a span is found wherever it lies on the grid, up to the last of
+``SIDES`` in length.  One weighted interval schedule over the whole document
+then picks the best non-overlapping spans.
 
 An added span holds a digit or ``@`` outside every base span, overlaps no base
 span, passes its kind's check (digits, Luhn, parts) and has a mean posterior of
@@ -41,6 +44,8 @@ EPOCHS = 8
 WINDOW = 64
 STRIDE = 32
 BLOCK = 2048
+#: Characters added on both sides of a window that cuts a span, step by step.
+SIDES = (64, 256, 1024)
 MIN_POSTERIOR = 0.9
 N_CLASSES = 130  # ASCII, other, padding
 N_TAGS = 1 + 2 * len(KINDS)  # outside, begin of each kind, inside of each kind
@@ -281,18 +286,19 @@ def _rewritten(kind: str, s: str) -> list[str]:
 
 def labelled_windows(text: str, limit: int) -> list[tuple[str, list[Span]]]:
     """(window text, spans in it) around the base spans and around other
-    digits, plus each window with its values rewritten."""
+    digits, plus each window with its values rewritten.  A value that runs over
+    the window's end is labelled up to there."""
     spans = base_spans(text)
     out = []
     places = [s for _, s, _ in spans]
     others = [m.start() for m in ANCHOR.finditer(text) if not any(s <= m.start() < e for _, s, e in spans)]
     for at in [*places[:limit], *others[:: max(1, len(others) // 2)][:2]]:
         lo = max(0, at - STRIDE // 2)
-        inside = [(k, s - lo, e - lo) for k, s, e in spans if s >= lo and e <= lo + WINDOW]
-        if any(s < lo + WINDOW and e > lo and not (s >= lo and e <= lo + WINDOW) for _, s, e in spans):
+        if any(s < lo < e for _, s, e in spans):
             continue
-        piece = text[lo : lo + WINDOW]
-        out.append((piece, inside))
+        inside = [(k, s - lo, e - lo) for k, s, e in spans if lo <= s < lo + WINDOW]
+        piece = text[lo : lo + max([WINDOW, *[e for _, _, e in inside]])]
+        out.append((piece[:WINDOW], [(k, s, min(e, WINDOW)) for k, s, e in inside]))
         for way in range(3 if inside else 0):
             new, marks, end = "", [], 0
             for k, s, e in inside:
@@ -304,7 +310,7 @@ def labelled_windows(text: str, limit: int) -> list[tuple[str, list[Span]]]:
                 new += forms[way % len(forms)]
                 end = e
             new += piece[end:]
-            out.append((new[:WINDOW], [m for m in marks if m[2] <= WINDOW]))
+            out.append((new[:WINDOW], [(k, s, min(e, WINDOW)) for k, s, e in marks if s < WINDOW]))
     return out
 
 
@@ -426,12 +432,19 @@ def added_spans(
     found: list[list[tuple[float, Span]]] = [[] for _ in docs]
     if model is None:
         return [[] for _ in docs]
-    queue: list[tuple[int, int]] = []
-
-    def run() -> None:
-        x = np.full((len(queue), WINDOW), N_CLASSES - 1, np.int64)
+    sides = (0, *SIDES)
+    queues: list[list[tuple[int, int]]] = [[] for _ in sides]
+    # pieces of one length at a time, so no other piece changes the padding
+    blocks = [max(1, BLOCK * WINDOW // (WINDOW + 2 * side)) for side in sides]
+
+    def run(step: int) -> None:
+        queue, side = queues[step][:], sides[step]
+        queues[step].clear()
+        size = WINDOW + 2 * side
+        x = np.full((len(queue), size), N_CLASSES - 1, np.int64)
         for i, (d, k) in enumerate(queue):
-            piece = classes(docs[d][k * STRIDE : k * STRIDE + WINDOW])
+            lo = max(0, k * STRIDE - side)
+            piece = classes(docs[d][lo : lo + size])
             x[i, : len(piece)] = piece
         e = emissions(x, model)
         tags = viterbi(e, model)
@@ -440,28 +453,39 @@ def added_spans(
             _, marginals, _ = crf(e[:, some], model)
         for j, i in enumerate(some):
             d, k = queue[i]
-            lo, text = k * STRIDE, docs[d]
+            at, text = k * STRIDE, docs[d]
+            lo, cut = max(0, at - side), False
             for kind, s, t in _spans_of(tags[i]):
-                if (s == 0 and lo) or lo + t > len(text) or (t == WINDOW and lo + t < len(text)):
-                    continue  # cut by the window's edge: whole in its neighbour
+                if lo + t <= at or lo + s >= at + WINDOW or lo + t > len(text):
+                    continue  # another window's, or padding
+                if (s == 0 and lo) or (t == size and lo + t < len(text)):
+                    cut = True  # by the edge: decoded again in a wider piece
+                    continue
                 while t > s and text[lo + t - 1].isspace():
                     t -= 1
                 value = text[lo + s : lo + t]
                 free = all(b <= lo + s or a >= lo + t for _, a, b in base[d])
-                if not free or not ANCHOR.search(value) or not _accepted(KINDS[kind], value):
+                # with a digit or "@" in the window itself, so that a window without one need not be run
+                if not free or not ANCHOR.search(text, max(at, lo + s), min(at + WINDOW, lo + t)):
+                    continue
+                if not _accepted(KINDS[kind], value):
                     continue
                 sure = float(marginals[np.arange(s, t), j, tags[i][s:t]].mean())
                 if sure >= MIN_POSTERIOR:
                     found[d].append((round(sure, 3) * (t - s), (KINDS[kind], lo + s, lo + t)))
-        queue.clear()
+            if cut and step < len(SIDES):
+                queues[step + 1].append((d, k))
+                if len(queues[step + 1]) >= blocks[step + 1]:
+                    run(step + 1)
 
     for d, text in enumerate(docs):
         for k in _window_starts(text, base[d], every_window):
-            queue.append((d, k))
-            if len(queue) >= BLOCK:
-                run()
-    if queue:
-        run()
+            queues[0].append((d, k))
+            if len(queues[0]) >= blocks[0]:
+                run(0)
+    for step, queue in enumerate(queues):
+        if queue:
+            run(step)
     return [_schedule(f) if f else [] for f in found]
 
 

@@ -58,6 +58,20 @@ def test_network_learns_and_skipped_windows_change_nothing():
     assert sum(map(len, some)) > 0
 
 
+def test_long_added_spans_are_found_at_every_offset():
+    texts = [f"mail a{i}.b@site{i}.example.org or 10.{i}.2.{i} tel +1 ({200 + i}) 555-01{i:02d} end {i * 37}" for i in range(90)]
+    texts += [f"write to first{i}.last-name{i}@dept{i}.some-university.example.edu for more, or not at all" for i in range(90)]
+    model = pii.train(*pii.encode_windows([w for t in texts for w in pii.labelled_windows(t, 4)]), epochs=12)
+    for value in ("first.last @ dept.some-university.example.edu",  # 45, 66 and 77 characters
+                  "first.middle.last-name @ department.of.some-university.example.edu",
+                  "first.middle.last-name @ department.of.statistics.some-university.example.edu"):
+        docs = ["word " * 30 + "x" * k + f" write to {value} for more, or not at all. " + "plain text " * 20 for k in range(32)]
+        base = [pii.base_spans(t) for t in docs]
+        added = pii.added_spans(docs, base, model)
+        assert [[t[s:e] for _, s, e in spans] for t, spans in zip(docs, added)] == [[value]] * 32
+        assert added == pii.added_spans(docs, base, model, every_window=True)
+
+
 def test_schedule_takes_the_best_set():
     spans = [(5.0, ("email", 0, 5)), (6.0, ("phone", 3, 9)), (5.0, ("ip", 9, 12)), (4.0, ("card", 5, 8))]
     assert pii._schedule(spans) == [("email", 0, 5), ("card", 5, 8), ("ip", 9, 12)]
