@@ -113,6 +113,15 @@ def test_regions_lose_no_pair_beyond_reach_or_borders(batch_rows, borders):
     assert joined(len(rows), links) == want
 
 
+def test_signatures_of_unrelated_long_texts_differ(spark):
+    r = np.random.RandomState(5)
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in r.randint(0, 50_000, 1000))) for i in range(12)],
+                                 "doc_id long, text string")
+    sig = np.array([list(x.sig) for x in neardup.signatures(docs, 5, "doc_id", "text").collect()])
+    agree = [(sig[i] == sig[j]).sum() for i in range(12) for j in range(i)]
+    assert max(agree) <= 5
+
+
 def test_near_duplicate_edges(spark, edges):
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(edges, 0.85).collect()}
     assert {(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True), (4, 2, 4, True), (5, 2, 4, False),
