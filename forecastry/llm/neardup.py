@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -49,6 +49,8 @@ PREFIX = 3
 REACH = 12
 CLUSTER_SHINGLES = 1_000_000
 REGION_ROWS = 65_536
+#: Simple types that cannot be sorted by.
+UNORDERED = ("variant", "interval", "void")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -89,16 +91,18 @@ def agreement(threshold: float) -> int:
 
 
 def signatures(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, set_key (digest of the set), keys (one per tree) and
+    """doc_id, digest (of the text), n_shingles, set_key (digest of the set), keys (one per tree) and
     sig (the low byte of every MinHash value: the top byte of a least of many is
     nearly always 0, in unrelated texts too)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = hash_factors()
         for batch in batches:
-            n, set_key, keys, sig = [], [], [], []
+            digest, n, set_key, keys, sig = [], [], [], [], []
             for value in batch.column("text"):
-                s = shingle_set(value.as_py() or "", size)
+                text = value.as_py()
+                digest.append(None if text is None else hashlib.md5(text.encode()).digest())
+                s = shingle_set(text or "", size)
                 n.append(len(s))
                 if not len(s):
                     set_key.append(None), keys.append(None), sig.append(None)
@@ -112,13 +116,13 @@ def signatures(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
                 ])
                 sig.append((m & np.uint64(0xFF)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(set_key, pa.binary()),
+                [batch.column("doc_id"), pa.array(digest, pa.binary()), pa.array(n, pa.int64()), pa.array(set_key, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                names=["doc_id", "n_shingles", "set_key", "keys", "sig"],
+                names=["doc_id", "digest", "n_shingles", "set_key", "keys", "sig"],
             )
 
     return id_and_text(df, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, keys array<long>, sig binary"
+        run, "doc_id long, digest binary, n_shingles long, set_key binary, keys array<long>, sig binary"
     )
 
 
@@ -354,6 +358,11 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest
     doc_id reachable over links of at least ``threshold``), kept."""
+    return _placed(df, threshold, shingle, id_col, text_col).drop("digest")
+
+
+def _placed(df: DataFrame, threshold: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """The rows of :func:`near_duplicates`, with the digest of each one's text."""
     spark = df.sparkSession
     num, den = _percent(threshold)
     docs = id_and_text(df, id_col, text_col)
@@ -387,17 +396,34 @@ def near_duplicates(
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     found = checkpointed(
-        sigs.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
+        sigs.select("doc_id", "digest", "n_shingles", "set_key").join(of_class, "set_key", "left")
+        .select("doc_id", "digest", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id") == F.col("component_id"))
     )
     drop_scratch(spark, base)
     return found
 
 
-def drop_near_duplicates(df: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` without those whose component has a smaller doc_id;
-    rows with a null id stay."""
-    found = near_duplicates(df, threshold, id_col=id_col, **options)
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return df.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+def drop_near_duplicates(
+    df: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` without those whose own text's component has a smaller
+    doc_id.  Of rows that repeat an id and a text the one that comes first by
+    its other (atomic) columns stays; among rows with a null id, which take no
+    part otherwise, so does one of each text.  Rows without a word all stay."""
+    key = [F.col(f"`{id_col}`").cast("long").alias("__id"), F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))).alias("__digest")]
+    found = _placed(df, threshold, shingle, id_col, text_col).where("n_shingles > 0")
+    marks = found.groupBy("doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce("kept", F.lit(True))).alias("kept")
+    ).where("n > 1 or not kept")
+    rows = df.select("*", *key)
+
+    def same(marks: DataFrame):
+        return rows["__id"].eqNullSafe(marks.doc_id) & (rows["__digest"] == marks.digest)
+
+    single = rows.join(marks, same(marks), "left_anti")
+    again = marks.where("kept")
+    atomic = [F.col(f"`{f.name}`") for f in df.schema if isinstance(t := f.dataType.jsonValue(), str) and t not in UNORDERED]
+    first = Window.partitionBy("__id", "__digest").orderBy(*atomic)
+    repeated = rows.join(again, same(again), "left_semi").withColumn("__n", F.row_number().over(first)).where("__n = 1")
+    return single.unionByName(repeated.drop("__n")).drop("__id", "__digest")

@@ -131,6 +131,15 @@ def test_near_duplicate_edges(spark, edges):
     assert neardup.near_duplicates(edges.limit(0)).count() == 0
 
 
+def test_repeated_rows_leave_one(spark):
+    a, b = "a b c d e f", "g h i j k l"
+    rows = [(1, a, "y"), (1, a, "x"), (1, b, "x"), (2, a, "x"), (2, "m n o p q r", "x"), (None, b, "x"), (None, b, "x"),
+            (None, "s t u v w x", "x"), (3, "", "x"), (3, "", "x"), (4, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted(map(str, map(tuple, neardup.drop_near_duplicates(docs, 0.8).collect())))
+    assert kept == sorted(map(str, [rows[k] for k in (1, 2, 4, 5, 7, 8, 9, 10)]))
+
+
 @settings(max_examples=5, deadline=None, derandomize=True)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=25))
 def test_components(spark, links):
