@@ -3,7 +3,7 @@
 Rules give the *base* spans (email, ip, card, phone).  A character-level
 bidirectional LSTM with CRF transitions, trained in numpy on a bounded,
 hash-ordered sample of labelled windows, adds spans that the rules miss
-(spaced, re-punctuated or defanged forms).  Its windows overlap by half; every
+(spaced or re-punctuated forms; not "name [at] example [dot] com").  Its windows overlap by half; every
 window is decoded alone.  Where a span is cut by a window's edge, the window is
 decoded again with ``SIDES`` characters more on both sides, until the span is
 whole; so a span is found wherever it lies on the grid, up to the last of
