@@ -1,4 +1,4 @@
-"""Training-data operators: ten document and vector operators on Spark.
+"""Training-data operators: thirteen document and vector operators on Spark.
 
 Nothing else in the package imports this subpackage.  Its functions travel to
 the executors by value, so a cluster needs no installed copy of it.

@@ -9,7 +9,9 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecastry.llm import ann, decontam, neardup, packing, pii, quality, tokens, toxicity, warc
+from forecastry.llm import (
+    ann, decontam, editprint, neardup, negatives, packing, pii, quality, tokens, toxicity, variants, warc,
+)
 from forecastry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +91,27 @@ def op10_near_duplicates(spark, sf):
     return neardup.near_duplicates(table(spark, sf, "documents"), threshold=0.85, shingle=5)
 
 
+def op11_spelling_variants(spark, sf):
+    """Words of seven letters and more, their near words and forms."""
+    return variants.spelling_variants(
+        table(spark, sf, "documents"), least_letters=7, least_count=2, ratio=10, edit_every=31
+    )
+
+
+def op12_hard_negatives(spark, sf):
+    """Hard negatives of each vector whose id is divisible by 100; labels move
+    on by one where the id is divisible by 7."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.hard_negatives(rows, anchor_every=100, positives=5, negatives=10, share=(30, 90), scale=256)
+
+
+def op13_fingerprints(spark, sf):
+    """Fingerprints of every document and of its edited text, and how alike they
+    are to each other and to the next document's."""
+    return editprint.edited_fingerprints(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -100,9 +123,34 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_decontamination": op9_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
+    "op12_hard_negatives": """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e, row_number() OVER () AS r
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.r AS a_r, a.vec_id AS anchor_id, a.label = o.label AS alike, o.vec_id, o.r,
+           CAST(list_inner_product(a.e, o.e) AS BIGINT) AS score
+    FROM v AS a JOIN v AS o ON a.vec_id % 100 = 0 AND a.r <> o.r
+), p AS (
+    SELECT a_r, r AS p_r, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY a_r ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY a_r, p_r ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM s JOIN p USING (a_r)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""",
     "op8_nearest": """
 WITH v AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
