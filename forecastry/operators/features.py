@@ -4,26 +4,34 @@ One window spec, ``partitionBy(store, item).orderBy(date)``; Catalyst merges
 the three window expressions into ONE Window over ONE sort after ONE hash
 exchange on (store, item).
 
-Scale: with a unique (store, item, date) key a window partition holds at most
-one row per calendar day, so its size is bounded by the date range (1,826 rows
-for five years), never by the data volume; volume only adds series, which the
-hash exchange spreads over tasks.  :func:`daily_totals` enforces the unique
-key (X12) with a partially-aggregated group-by when the input may repeat keys,
-and :func:`demand_features_chunked` splits long series into date chunks with a
-7-row halo, so no window task ever holds a whole series;
-:func:`demand_features_ranged` splits at row ranges instead of dates, so
-repeated and undated rows are bounded too.
+Scale: volume mostly adds series, which the hash exchange spreads over tasks.  A
+series that alone holds more than its share of all rows is cut into chunks at
+quantiles of its own rows (:func:`series_chunks`): a chunk number is an expression
+of the row and of fixed cuts, so it is the same whenever a task runs again, the
+rows are shuffled once, and a window task holds a chunk and a 7-row halo.
+:func:`demand_features_chunked` cuts every series at dates instead, and
+:func:`daily_totals` makes keys unique (X12) with a partially aggregated group-by.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecastry.functions.calendar import calendar_columns
 from forecastry.operators.clean import fill_zero
 from forecastry.schema import HISTORY_COLUMNS, KEY_COLUMNS, LONG_LAG, ROLLING_ROWS, SEED, SHORT_LAG
-from forecastry.session import settled
+
+#: Pieces that all rows together are cut into, for every shuffle partition: a
+#: series of more than one piece's rows is cut.  So fine that hashing the pieces
+#: to partitions loads them evenly.
+PIECES_PER_PARTITION = 16
+#: Rows of a piece at least: smaller ones are not worth a halo.
+LEAST_ROWS = 10_000
+SAMPLES_PER_PIECE = 8
+CUTS_PER_GROUP = 32
 
 
 def series_window():
@@ -66,8 +74,16 @@ def history_columns(leak_free: bool = False) -> dict:
     }
 
 
-def demand_features(df: DataFrame, leak_free: bool = False) -> DataFrame:
-    """Calendar + lag + rolling features, missing history filled with 0."""
+def demand_features(
+    df: DataFrame, leak_free: bool = False, pieces: int | None = None, least_rows: int = LEAST_ROWS
+) -> DataFrame:
+    """Calendar + lag + rolling features, missing history filled with 0.
+
+    Series of more than 1 / ``pieces`` of all rows (and of ``least_rows``) are cut
+    into chunks; the result is the same."""
+    chunks = series_chunks(df, pieces, least_rows)
+    if chunks is not None:
+        return _features_of_chunks(chunks, df.columns, leak_free, F.col("_cuts").isNotNull())
     out = df.withColumns(calendar_columns("date", "day_of_week")).withColumns(history_columns(leak_free))
     return fill_zero(out, HISTORY_COLUMNS)
 
@@ -92,33 +108,79 @@ def demand_features_chunked(df: DataFrame, chunk_days: int = 90, leak_free: bool
     return _features_of_chunks(df.withColumn("_chunk", chunk), df.columns, leak_free)
 
 
-def series_pieces(df: DataFrame, pieces: int) -> DataFrame:
-    """``df`` and ``_chunk``: range-partitioned by (store, item, date, sales,
-    hash of the row) into ``pieces`` ranges, numbered in that order.
-
-    Repeated and undated rows are split by the hash, equal rows by a random
-    number.  Neither that number nor a chunk id may change when a task is run
-    again, so the rows are checkpointed before and after they are dealt.
-    """
-    order = [F.col(c) for c in ("store", "item", "date", "sales")]
-    dealt = settled(df).repartitionByRange(pieces, *order, F.xxhash64(*df.columns), F.rand(SEED))
-    return settled(dealt.withColumn("_chunk", F.spark_partition_id()))
+def _row_order(df: DataFrame) -> Column:
+    """(date, sales, hash of the row): the order of a series, ties told apart."""
+    hashed = [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
+    return F.struct("date", "sales", F.xxhash64(*hashed).alias("tie"))
 
 
-def demand_features_ranged(df: DataFrame, pieces: int | None = None, leak_free: bool = False) -> DataFrame:
-    """Same output as :func:`demand_features` for any series, however long and
-    however often it repeats a date or lacks one: a chunk is what one series
-    has in one of ``pieces`` ranges (default: the session's shuffle partitions)."""
-    n = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _features_of_chunks(series_pieces(df, n), df.columns, leak_free)
+def _in_spark_order(row) -> tuple:
+    """Sorts (date, sales, tie) as Spark does: nulls first, NaN last."""
+    return tuple((v is not None, isinstance(v, float) and math.isnan(v), 0 if v is None or v != v else v) for v in row)
 
 
-def _features_of_chunks(rows: DataFrame, columns: list[str], leak_free: bool) -> DataFrame:
-    """Features of rows whose ``_chunk`` ascends with (date, sales) in a series."""
+def series_cuts(df: DataFrame, pieces: int, least_rows: int) -> list[tuple]:
+    """(store, item, cuts) of every series with more than 1 / ``pieces`` of all
+    rows: fewer than ``pieces`` series.  Cuts are quantiles of a random sample of
+    ``SAMPLES_PER_PIECE`` rows a piece, sorted, in groups of ``CUTS_PER_GROUP``."""
+    sizes = df.groupBy("store", "item").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    long = sizes.where((F.col("n") * pieces > total) & (F.col("n") > least_rows)).withColumn("total", total).collect()
+    if not long:
+        return []
+    names = df.sparkSession.createDataFrame([(r["store"], r["item"]) for r in long], df.select("store", "item").schema)
+    of_long = df.alias("d").join(
+        F.broadcast(names.alias("n")),  # fewer than `pieces` rows
+        F.col("d.store").eqNullSafe(F.col("n.store")) & F.col("d.item").eqNullSafe(F.col("n.item")), "left_semi",
+    )
+    sample = of_long.select("store", "item", _row_order(df).alias("at")).orderBy(F.rand(SEED)).limit(SAMPLES_PER_PIECE * pieces).collect()
+    found: dict[tuple, list] = {}
+    for r in sample:
+        found.setdefault((r["store"], r["item"]), []).append(tuple(r["at"]))
+    out = []
+    for r in long:
+        rows = sorted(found.get((r["store"], r["item"]), []), key=_in_spark_order)
+        k = max(2, math.ceil(min(r["n"] * pieces / r["total"], r["n"] / max(1, least_rows))))
+        cuts = list(dict.fromkeys(rows[len(rows) * j // k] for j in range(1, k))) if rows else []
+        if cuts:
+            out.append((r["store"], r["item"], [cuts[j : j + CUTS_PER_GROUP] for j in range(0, len(cuts), CUTS_PER_GROUP)]))
+    return out
+
+
+def series_chunks(df: DataFrame, pieces: int | None = None, least_rows: int = LEAST_ROWS) -> DataFrame | None:
+    """``df`` with ``_cuts`` (null for series that are not cut) and ``_chunk``, the
+    number of cuts up to the row; None if no series is cut.
+
+    Cuts lie between rows that differ.  Rows alike in every column stay in one
+    chunk: :func:`daily_totals` collapses repeated keys first."""
+    pieces = pieces or PIECES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = series_cuts(df, pieces, least_rows)
+    if not cuts:
+        return None
+    key = ", ".join(f"`_{f.name}` {f.dataType.simpleString()}" for f in df.select("store", "item").schema)
+    order = ", ".join(f"{c}: {df.schema[c].dataType.simpleString()}" for c in ("date", "sales"))
+    table = df.sparkSession.createDataFrame(cuts, f"{key}, _cuts array<array<struct<{order}, tie: bigint>>>")
+    at, of = _row_order(df), F.col("_cuts")
+    group = F.size(F.filter(of, lambda g: g[0] <= at))
+    within = F.size(F.filter(F.get(of, group - 1), lambda c: c <= at))
+    chunk = F.when(of.isNull() | (group == 0), 0).otherwise((group - 1) * CUTS_PER_GROUP + within)
+    same = F.col("store").eqNullSafe(F.col("_store")) & F.col("item").eqNullSafe(F.col("_item"))
+    # at most `pieces` series and two cuts a piece
+    return df.join(F.broadcast(table), same, "left").withColumn("_chunk", chunk).drop("_store", "_item")
+
+
+def demand_features_ranged(df: DataFrame, pieces: int, leak_free: bool = False) -> DataFrame:
+    """:func:`demand_features` with series cut down to any size."""
+    return demand_features(df, leak_free, pieces, least_rows=1)
+
+
+def _features_of_chunks(rows: DataFrame, columns: list[str], leak_free: bool, cut: Column | None = None) -> DataFrame:
+    """Features of rows whose ``_chunk`` ascends with (date, sales) in a series;
+    ``cut`` tells rows of series of more than one chunk (default: all)."""
     key = ["store", "item"]
     newest_first = Window.partitionBy(*key, "_chunk").orderBy(F.desc("date"), F.desc_nulls_last("sales"))
     tails = (
-        rows.select(*key, "_chunk", "date", "sales")
+        (rows if cut is None else rows.where(cut)).select(*key, "_chunk", "date", "sales")
         .withColumn("_n", F.row_number().over(newest_first))
         .filter(F.col("_n") <= HALO_ROWS)
         .groupBy(*key, "_chunk")
@@ -131,9 +193,9 @@ def _features_of_chunks(rows: DataFrame, columns: list[str], leak_free: bool) ->
         .select(*key, "_chunk", F.col("_h.date").alias("date"), F.col("_h.sales").alias("sales"),
                 F.lit(True).alias("_halo"))
     )
-    stacked = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    stacked = rows.drop("_cuts").withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
 
-    # halo rows first: at row ranges they may tie with the chunk's own
+    # halo rows first: they may tie with the chunk's own
     w = Window.partitionBy(*key, "_chunk").orderBy(F.desc("_halo"), "date", "sales")
     if leak_free:
         frame = w.rowsBetween(-ROLLING_ROWS, -1)

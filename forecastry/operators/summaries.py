@@ -61,6 +61,25 @@ def monthly_series(df: DataFrame) -> DataFrame:
     return monthly_sales(df).withColumn("month_start", month_start()).orderBy("month_start")
 
 
+def monthly_spine(df: DataFrame, key: str | None = None) -> DataFrame:
+    """C1 with no gaps: every month from the first to the last with a date (of
+    each ``key``, if given), total 0 where nothing was sold.
+
+    Months come from a sequence between the bounds, as long as the calendar; they
+    meet the totals in one more partial aggregate.  Undated rows take no part;
+    a month with rows but no sales known is 0, too."""
+    by = [key] if key else []
+    dated = df.where(F.col("date").isNotNull()).withColumn("month_start", F.trunc("date", "month"))
+    totals = dated.groupBy(*by, "month_start").agg(F.sum("sales").alias("total_sales"))
+    bounds = totals.groupBy(*by).agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi")).where("lo is not null")
+    months = bounds.select(*by, F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month_start"), F.lit(0.0).alias("total_sales"))
+    return (
+        totals.unionByName(months).groupBy(*by, "month_start").agg(F.sum("total_sales").alias("total_sales"))
+        .select(*by, F.year("month_start").alias("year"), F.month("month_start").alias("month"), "month_start", "total_sales")
+        .orderBy(*by, "month_start")
+    )
+
+
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """The first n rows for inspection, by date, store and item."""
     return df.orderBy("date", "store", "item").limit(n)

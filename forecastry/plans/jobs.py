@@ -3,9 +3,10 @@
 Each job takes zone paths, reads, runs its operators and writes whole
 directories (overwrite).  Compared with the reference, the jobs:
 
-* fold every printed statistic into ONE aggregate pass (:func:`profile`);
-* derive the imputation value and the scaling bounds from that same pass,
-  so imputing and scaling cost no extra scans;
+* parse the raw text once: every printed statistic, the imputation value and the
+  scaling bounds are observed while the typed rows are written, and imputing and
+  scaling are one projection of those;
+* replace a zone only once the new one is whole (:func:`sources.zones.replacing`);
 * split from a written table, so ``randomSplit`` sees a stable layout even
   when an executor is lost and a partition is recomputed;
 * build the three summaries as grouping sets of one pass.
@@ -20,13 +21,16 @@ from pyspark.sql import functions as F
 
 from forecastry.functions.calendar import calendar_columns
 from forecastry.operators import clean, features, model, profile, scale, split, status, summaries
-from forecastry.schema import INGEST_SPLIT, LABEL_COLUMN, MODEL_SPLIT, SEED
+from forecastry.schema import FOREST_MODEL, INGEST_SPLIT, LABEL_COLUMN, LINEAR_MODEL, MODEL_SPLIT, SEED, TEST_CSV, TRAIN_CSV
+from forecastry.session import drop_scratch, scratch_path
 from forecastry.sources import read_parquet, read_raw_sales, save_model, write_csv, write_parquet
 
 
 def _split(df: DataFrame, weights, seed: int, mode: str, cutoff: str | None = None):
     if mode == "random":
         return split.random_split(df, weights, seed)
+    if mode == "exact":
+        return split.exact_split(df, weights[0], seed)
     if mode == "hash":
         return split.hash_split(df, int(round(weights[0] * 100)))
     if mode == "cutoff":
@@ -38,8 +42,8 @@ def _split(df: DataFrame, weights, seed: int, mode: str, cutoff: str | None = No
 
 def _write_split(df: DataFrame, training_path: str, weights, seed: int, mode: str) -> None:
     train, test = _split(df, weights, seed, mode)
-    write_csv(train, os.path.join(training_path, "train.csv"))
-    write_csv(test, os.path.join(training_path, "test.csv"))
+    write_csv(train, os.path.join(training_path, TRAIN_CSV))
+    write_csv(test, os.path.join(training_path, TEST_CSV))
 
 
 def ingest_v1(spark: SparkSession, raw_path: str, processed_path: str, training_path: str,
@@ -66,20 +70,28 @@ def ingest(
     Returns the profile as a dict (what the reference printed).
     """
     raw = read_raw_sales(spark, raw_path)
-    typed = clean.typed_sales(raw)
-    stats = profile.profile(typed).first().asDict()  # pass 1: every statistic at once
-    stats["raw_dtypes"], stats["dtypes"] = raw.dtypes, typed.dtypes  # P7: driver metadata, no job
-    if stats["sales_count"] == 0:
-        raise ValueError("cannot impute 'sales': it has no non-null values")
-    mean = float(stats["sales_mean"])
-    imputed = clean.impute_mean(typed, mean=mean)
-    if scale_method == "expr":
-        bounds = scale.imputed_bounds(stats["sales_min"], stats["sales_max"], mean, stats["nulls_sales"],
-                                      typed.schema["sales"].dataType)
-        processed = scale.scale_expr(imputed, bounds=bounds)
-    else:
-        processed = scale.minmax_scale(imputed, method=scale_method)
-    write_parquet(processed, processed_path)  # pass 2
+    parsed = clean.typed_sales(raw)
+    staged = scratch_path(spark, "typed")
+    # no shuffle, so the observation is of the write's own tasks: each counts once
+    seen = Observation("ingest")
+    parsed.observe(seen, *profile.profile_columns(parsed)).write.parquet(staged)
+    stats = dict(seen.get)
+    stats["raw_dtypes"], stats["dtypes"] = raw.dtypes, parsed.dtypes  # P7: driver metadata, no job
+    try:
+        if stats["sales_count"] == 0:
+            raise ValueError("cannot impute 'sales': it has no non-null values")
+        mean = float(stats["sales_mean"])
+        typed = spark.read.parquet(staged)
+        imputed = clean.impute_mean(typed, mean=mean)
+        if scale_method == "expr":
+            bounds = scale.imputed_bounds(stats["sales_min"], stats["sales_max"], mean, stats["nulls_sales"],
+                                          typed.schema["sales"].dataType)
+            processed = scale.scale_expr(imputed, bounds=bounds)
+        else:
+            processed = scale.minmax_scale(imputed, method=scale_method)
+        write_parquet(processed, processed_path)
+    finally:
+        drop_scratch(spark, staged)
     stats["imputed_mean"] = mean
 
     written = read_parquet(spark, processed_path)
@@ -133,9 +145,9 @@ def build_features(spark: SparkSession, processed_path: str, features_path: str,
 
     ``chunk_days`` computes the same features with each series cut into date
     chunks plus a 7-row halo, so no window task holds more than one chunk of
-    one series (:func:`features.demand_features_chunked`).  ``pieces`` cuts the
-    table into so many row ranges instead, which also bounds repeated and
-    undated rows (:func:`features.demand_features_ranged`).
+    one series (:func:`features.demand_features_chunked`).  Without it, series of
+    more than 1 / ``pieces`` of all rows are cut at quantiles of their rows
+    (:func:`features.demand_features`; by default 16 pieces a shuffle partition).
 
     ``unique_keys="trust"`` (the reference's behaviour) takes one row per
     (store, item, date) as given.  ``"sum"`` first collapses repeated keys with
@@ -148,12 +160,10 @@ def build_features(spark: SparkSession, processed_path: str, features_path: str,
         df = features.daily_totals(df)
     elif unique_keys != "trust":
         raise ValueError(f"unique_keys must be 'trust' or 'sum', not {unique_keys!r}")
-    if pieces:
-        feats = features.demand_features_ranged(df, pieces=pieces, leak_free=leak_free)
-    elif chunk_days:
+    if chunk_days:
         feats = features.demand_features_chunked(df, chunk_days=chunk_days, leak_free=leak_free)
     else:
-        feats = features.demand_features(df, leak_free=leak_free)
+        feats = features.demand_features(df, leak_free=leak_free, pieces=pieces)
     write_parquet(feats, features_path, partition_by=partition_by)
 
 
@@ -193,20 +203,11 @@ def train(
     write_parquet(predictions, predictions_path)
     report = dict(rmse.get)
     report["sample_predictions"] = [r.asDict() for r in read_parquet(spark, predictions_path).limit(5).collect()]
-    save_model(lr, os.path.join(models_path, "linear_regression_model"))
-    save_model(rf, os.path.join(models_path, "random_forest_model"))
+    save_model(lr, os.path.join(models_path, LINEAR_MODEL))
+    save_model(rf, os.path.join(models_path, FOREST_MODEL))
     return report
 
 
 def status_report(runs: DataFrame, jobs: DataFrame, listing: DataFrame) -> dict[str, DataFrame]:
     """Status job: every job's latest run, and the newest artefact per prefix."""
     return {"jobs": status.job_status(jobs, runs), "artefacts": status.latest_artifact(listing)}
-
-
-def naive_profile(df: DataFrame) -> dict:
-    """The reference's shape, for benchmarking only: one Spark job per statistic."""
-    out = {c: df.filter(F.col(c).isNull()).count() for c in df.columns}
-    out["mean"] = df.agg(F.avg("sales")).first()[0]
-    for a, b in (("store", "item"), ("store", "sales"), ("item", "sales")):
-        out[f"corr_{a}_{b}"] = df.agg(profile.corr_column(a, b, True)).first()[0]
-    return out

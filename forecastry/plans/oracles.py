@@ -5,8 +5,9 @@ DuckDB's ``year``/``month``/``dayofweek`` return BIGINT and ``dayofweek`` is
 0 = Sunday (Spark: 1 = Sunday); the test tables' timestamps are cast to
 DATE; REAL arithmetic stays REAL in DuckDB, so scaling is done in DOUBLE.
 The model and random-split queries have no row oracle; their ``_check``
-queries return invariants (least-squares residuals, key counts) next to counts
-that DuckDB computes from the data.
+queries return invariants (key counts, changes by a reload, differences between
+two ways) that are literals here, next to counts and sums that DuckDB computes
+from the data.  ``linear_gram`` is computed from data throughout.
 """
 
 from __future__ import annotations
@@ -23,6 +24,14 @@ panel AS (
     GROUP BY 1, 2, 3
 )"""
 
+HISTORY = PANEL.replace("l_partkey", "l_linenumber")
+
+# a third of all rows in one series
+HOT = HISTORY.replace("panel AS", "whole AS") + """, panel AS (
+    SELECT CASE WHEN hot THEN 1 ELSE store END AS store, CASE WHEN hot THEN 1 ELSE item END AS item, "date", sales
+    FROM (SELECT *, (store + item + dayofmonth("date")) % 3 = 0 AS hot FROM whole)
+)"""
+
 HOLES = """
 holes AS (
     SELECT store, item, "date",
@@ -72,8 +81,8 @@ GROUP BY 1, 2
 """
 
 
-def _features(frame: str) -> str:
-    return CLEAN + f"""
+def _features(frame: str, panel: str = HISTORY) -> str:
+    return _with(panel, HOLES, IMPUTED) + f"""
 SELECT store, item, "date", sales,
        CAST(year("date") AS INTEGER) AS year,
        CAST(month("date") AS INTEGER) AS month,
@@ -119,8 +128,56 @@ FROM (
 TRAIN_SIDE = """(CAST('0x' || substr(md5(CAST(store AS VARCHAR) || '|' || CAST(item AS VARCHAR) || '|'
                 || CAST("date" AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 70)"""
 FITTED = ("intercept", *FEATURE_COLUMNS)
+TRAILING = "ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"
+HISTORY_SALES = _with(HISTORY, HOLES, IMPUTED)
+
+
+def _train_features() -> str:
+    """The train side of the features, columns as doubles, and a constant."""
+    as_doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS)
+    return f"(SELECT CAST(1 AS DOUBLE) AS intercept, {as_doubles}, CAST(sales AS DOUBLE) AS label FROM ({_features(TRAILING)}) WHERE {TRAIN_SIDE})"
+
+
+def _gram() -> str:
+    pairs = [(a, b) for k, a in enumerate(FITTED) for b in FITTED[k:]] + [(a, "label") for a in FITTED]
+    one = ", ".join(
+        f"{{a: '{a}', b: '{b}', total: CAST(round(sum(CAST({a} * {b} AS DECIMAL(36,12))), 2) AS DOUBLE)}}" for a, b in pairs
+    )
+    return f"SELECT unnest([{one}], recursive := true) FROM {_train_features()}"
+
+
+def _residuals() -> str:
+    """0 for each column that varies among the train rows: what least squares gives."""
+    columns = ["0.0::DOUBLE AS r_intercept"]
+    columns += [f"CASE WHEN min({c}) < max({c}) THEN 0.0::DOUBLE END AS r_{c}" for c in FEATURE_COLUMNS]
+    return f"SELECT count(*) AS n_train, {', '.join(columns)} FROM {_train_features()}"
+
+
+FOREST_CHECK = HISTORY_SALES + f"""SELECT count(*) AS n_test, count(*) AS n_keys, CAST(0 AS BIGINT) AS outside_train_range,
+       true AS rmse_below_deviation, CAST(0 AS BIGINT) AS changed_by_reload FROM imputed WHERE NOT {TRAIN_SIDE}"""
 
 ORACLES: dict[str, str] = {
+    "constant_scale": SALES + 'SELECT store, item, "date", CAST(7 AS REAL) AS sales, CAST(0.5 AS REAL) AS sales_scaled_value FROM panel',
+    "daily_totals": _with(HISTORY) + 'SELECT store, item, "date", sales FROM panel',
+    "monthly_spine": SALES
+    + """, totals AS (
+    SELECT item, CAST(date_trunc('month', "date") AS DATE) AS month_start, sum(sales) AS total_sales
+    FROM panel WHERE "date" IS NOT NULL GROUP BY 1, 2
+), spine AS (
+    SELECT item, CAST(unnest(generate_series(min(month_start), max(month_start), INTERVAL 1 MONTH)) AS DATE) AS month_start
+    FROM totals GROUP BY item
+)
+SELECT item, CAST(year(month_start) AS INTEGER) AS year, CAST(month(month_start) AS INTEGER) AS month, month_start,
+       coalesce(total_sales, 0.0::DOUBLE) AS total_sales
+FROM spine LEFT JOIN totals USING (item, month_start)""",
+    "exact_split": SALES
+    + """SELECT store, item, "date", sales, CASE WHEN n <= round_even(0.8 * count(*) OVER (), 0) THEN 'train' ELSE 'test' END AS split
+FROM (
+    SELECT *, row_number() OVER (ORDER BY CAST('0x' || substr(md5('42|' || CAST(store AS VARCHAR) || '|' || CAST(item AS VARCHAR)
+           || '|' || CAST("date" AS VARCHAR)), 1, 15) AS BIGINT)) AS n
+    FROM panel
+)""",
+    "listed_artifacts": "SELECT o_orderpriority AS prefix, true AS is_newest, true AS is_file, count(*) AS n_rows FROM orders GROUP BY 1",
     "typed_from_csv": HOLED + 'SELECT "date", store, item, sales FROM holes',
     "typed_from_csv_stream": HOLED + 'SELECT "date", store, item, sales FROM holes',
     "typed_dirty_csv": _with(PANEL, HOLES, DIRTY)
@@ -164,9 +221,11 @@ FROM holes""",
     + f"SELECT *, make_date(year, month, 1) AS month_start FROM ({_MONTHLY}) ORDER BY month_start",
     "correlations": SALES + f"SELECT {_corrs(False)} FROM panel",
     "correlations_null_as_zero": HOLED + f"SELECT {_corrs(True)} FROM holes",
-    "demand_features": _features("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"),
-    "demand_features_chunked": _features("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"),
-    "demand_features_ranged": _features("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"),
+    "demand_features": _features(TRAILING),
+    "demand_features_chunked": _features(TRAILING),
+    "demand_features_ranged": _features(TRAILING),
+    "demand_features_hot": _features(TRAILING, HOT),
+    "demand_features_panel": _features(TRAILING, PANEL),
     "leak_free_features": _features("ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING"),
     "hash_split_train": SALES
     + """SELECT * FROM panel
@@ -191,12 +250,18 @@ UNION ALL SELECT 'item', CAST(item AS VARCHAR), sum(sales), avg(sales) FROM pane
     + """SELECT r.split, count(*) AS n_rows, CAST(0 AS BIGINT) AS on_both_sides, CAST(0 AS BIGINT) AS on_neither_side,
        true AS share_as_expected
 FROM panel, (VALUES ('80/20'), ('70/30')) AS r(split) GROUP BY r.split""",
-    "linear_normal_equations": CLEAN
-    + f"SELECT count(*) AS n_train, {', '.join(f'0.0::DOUBLE AS r_{c}' for c in FITTED)} FROM imputed WHERE {TRAIN_SIDE}",
+    "linear_gram": _gram(),
+    "linear_normal_equations": _residuals(),
+    "linear_check": HISTORY_SALES
+    + f"""SELECT count(*) AS n_test, true AS rmse_below_deviation, CAST(0 AS BIGINT) AS changed_by_reload,
+       CAST(0 AS BIGINT) AS off_the_aggregate FROM imputed WHERE NOT {TRAIN_SIDE}""",
+    "score_check": HISTORY_SALES
+    + f"""SELECT count(*) AS n_rows, count(DISTINCT (store, item, "date")) AS n_keys,
+       CAST(round(sum(CAST(CAST(sales AS DOUBLE) AS DECIMAL(28,8))), 2) AS DOUBLE) AS actual_sales,
+       CAST(0 AS BIGINT) AS off_the_coefficients FROM imputed WHERE NOT {TRAIN_SIDE}""",
     "rmse_check": """SELECT * FROM (VALUES ('linear_regression', 0.0::DOUBLE), ('random_forest', 0.0::DOUBLE)) AS r(model, difference)""",
-    "forest_check": CLEAN
-    + f"""SELECT count(*) AS n_test, count(*) AS n_keys, CAST(0 AS BIGINT) AS outside_train_range,
-       true AS rmse_below_deviation, CAST(0 AS BIGINT) AS changed_by_reload FROM imputed WHERE NOT {TRAIN_SIDE}""",
+    "forest_check": FOREST_CHECK,
+    "tuned_forest_check": FOREST_CHECK,
     "latest_run": LATEST_RUN,
     "job_status": f"""
 WITH latest AS ({LATEST_RUN})

@@ -33,21 +33,13 @@ MODEL_SPLIT = (0.7, 0.3)
 SEED = 42
 # chart data preparation: items shown
 TOP_ITEMS = 10
+# folder names below the training and model zones
+TRAIN_CSV, TEST_CSV = "train.csv", "test.csv"
+LINEAR_MODEL, FOREST_MODEL = "linear_regression_model", "random_forest_model"
 # ---- end of fixed values ----
 
 KEY_COLUMNS = ("store", "item", "date")
 
-TYPED_SCHEMA = T.StructType(
-    [
-        T.StructField("store", T.IntegerType()),
-        T.StructField("item", T.IntegerType()),
-        T.StructField("sales", T.FloatType()),
-        T.StructField("date", T.DateType()),
-    ]
-)
-
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-
 RUN_LOG_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.LongType()),

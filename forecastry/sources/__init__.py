@@ -1,6 +1,7 @@
 """Sources and sinks: raw CSV (S1), Parquet zones (S2/S3), CSV sink (S4),
 model directories (S5), and the adapter from the supplied test tables."""
 
+from forecastry.sources.listing import list_objects
 from forecastry.sources.raw import read_raw_sales
 from forecastry.sources.zones import (
     load_model,
@@ -11,6 +12,7 @@ from forecastry.sources.zones import (
 )
 
 __all__ = [
+    "list_objects",
     "read_raw_sales",
     "read_parquet",
     "write_parquet",

@@ -2,7 +2,9 @@
 
 The supplied tables stand in for the pipeline's inputs:
 
-* ``lineitem`` -> daily sales panel (store, item, date, sales)
+* ``lineitem`` -> daily sales (store, item, date, sales): the panel, keyed by
+  supplier and part, has many short series; the history, keyed by supplier and
+  line number, has long ones (for windows and models)
 * ``events``   -> job run log; ``customer`` -> job list
 * ``orders``   -> artefact listing (prefix, key, last_modified)
 """
@@ -24,17 +26,17 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def panel_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def panel_from_lineitem(lineitem: DataFrame, item: str = "l_partkey") -> DataFrame:
     """Daily panel with a unique (store, item, date) key and whole-number sales.
 
     One hash aggregate; Catalyst runs it partial-then-final, so even a key that
     holds a large share of lineitem is combined map-side before the shuffle.
-    Stores and items are the full supplier and part keys, so the panel and all
-    work after it grow with lineitem.
+    Stores are the full supplier keys and items the full part keys or the line
+    numbers, so the panel and all work after it grow with lineitem.
     """
     keyed = lineitem.select(
         F.col("l_suppkey").cast("int").alias("store"),
-        F.col("l_partkey").cast("int").alias("item"),
+        F.col(item).cast("int").alias("item"),
         F.to_date("l_shipdate").alias("date"),
         F.col("l_quantity"),
     )
@@ -58,6 +60,31 @@ def holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return punch_holes(panel(spark, sf_dir))
 
 
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series of about 84 rows each, more of them with more lineitem rows."""
+    return panel_from_lineitem(load_table(spark, sf_dir, "lineitem"), item="l_linenumber")
+
+
+def history_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return punch_holes(history(spark, sf_dir))
+
+
+def hot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history with about a third of its rows moved to one series, which
+    then repeats dates, and sales on a date."""
+    rows = history(spark, sf_dir)
+    hot = (F.col("store") + F.col("item") + F.dayofmonth("date")) % 3 == 0
+    return rows.withColumns({c: F.when(hot, 1).otherwise(F.col(c)) for c in ("store", "item")})
+
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per lineitem row: keys repeat."""
+    return load_table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("int").alias("store"), F.col("l_linenumber").cast("int").alias("item"),
+        F.to_date("l_shipdate").alias("date"), F.col("l_quantity").cast("float").alias("sales"),
+    )
+
+
 def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The holed panel as text, with bad, NaN and empty sales on a fixed rule."""
     k = (F.col("store") * 5 + F.col("item")) % 17

@@ -72,15 +72,6 @@ def test_status_report(spark):
     assert rep["artefacts"].count() == 5
 
 
-def test_naive_profile_agrees_with_one_pass(spark):
-    from forecastry.operators import profile
-    holes = tables.holes(spark, SMOKE)
-    naive = jobs.naive_profile(holes)
-    one = profile.profile(holes).first()
-    assert naive["sales"] == one["nulls_sales"]
-    assert naive["corr_store_sales"] == pytest.approx(one["corr_store_sales"], rel=1e-9)
-
-
 def test_command_line(spark, zones):
     from forecastry.__main__ import main
     root = tempfile.mkdtemp(prefix="fc-cli-")

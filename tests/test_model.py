@@ -15,7 +15,7 @@ from conftest import SMOKE
 
 @pytest.fixture(scope="module")
 def data(spark):
-    feats = materialize(features.demand_features(clean.impute_mean(tables.holes(spark, SMOKE))), "t-model")
+    feats = materialize(features.demand_features(clean.impute_mean(tables.history_holes(spark, SMOKE))), "t-model")
     return split.random_split(model.assemble(feats, keep_keys=True), (0.7, 0.3), 42)
 
 
@@ -90,7 +90,24 @@ def test_tuned_forest_preset(data):
     train, test = data
     rf = model.fit_forest(train, "tuned")
     assert rf.getNumTrees == 100 and rf.getOrDefault("maxDepth") == 12
-    assert model.rmse(rf.transform(test)).first()["rmse"] >= 0
+    sd = test.agg(F.stddev_pop("label")).first()[0]
+    assert model.rmse(rf.transform(test)).first()["rmse"] < sd
+
+
+def test_node_cache_and_small_statistics_change_nothing(data):
+    train, test = data
+    small = model.fit_forest(train, "light", maxMemoryInMB=1, checkpointInterval=2)
+    plain = model.fit_forest(train, "light", cacheNodeIds=False, maxMemoryInMB=256)
+    a, b = (m.transform(test).agg(F.sum("prediction")).first()[0] for m in (small, plain))
+    assert a == pytest.approx(b, rel=0.02)  # groups of nodes draw other bootstrap seeds
+    assert model.fit_forest(train, "light").getOrDefault("cacheNodeIds")
+
+
+def test_the_models_have_history(spark):
+    """Over half of all rows have a lag 7 (the panel's items give none)."""
+    out = features.demand_features(clean.impute_mean(tables.history_holes(spark, SMOKE)))
+    known = out.agg(F.avg((F.col("lag_7") != 0).cast("int"))).first()[0]
+    assert known > 0.5
 
 
 def test_null_feature_fails_unless_skipped(spark):

@@ -67,9 +67,54 @@ def test_features_with_hot_series(spark):
     rows = rows.union(rows.where("store = 1 and item = 1").limit(1).crossJoin(spark.range(300)).drop("id"))
     rows = settled(rows)
     for leak_free in (False, True):
-        plain = features.demand_features(rows, leak_free)
-        ranged = features.demand_features_ranged(rows, 16, leak_free)
+        plain = features.demand_features(rows, leak_free, least_rows=1 << 40)
+        ranged = features.demand_features_ranged(rows, 16, leak_free=leak_free)
         assert ranged.columns == plain.columns
         assert ranged.exceptAll(plain).count() == 0 and plain.exceptAll(ranged).count() == 0
-    sizes = [r["count"] for r in features.series_pieces(rows, 16).groupBy("store", "item", "_chunk").count().collect()]
+    chunks = features.series_chunks(rows, 16, 1)
+    sizes = [r["count"] for r in chunks.groupBy("store", "item", "_chunk").count().collect()]
     assert max(sizes) <= 2 * rows.count() / 16
+
+
+def test_a_hot_series_loads_tasks_evenly(spark):
+    """A third of all rows in one series of unique dates: rows are shuffled once,
+    and no window task has more than twice the mean."""
+    days = F.expr("date_add(date'1900-01-01', cast(id as int))")
+    hot = spark.range(20_000).select(F.lit(1).alias("store"), F.lit(1).alias("item"), days.alias("date"), (F.col("id") % 50).cast("float").alias("sales"))
+    rest = spark.range(40_000).select(
+        (F.col("id") % 500).cast("int").alias("store"), (2 + F.col("id") % 7).cast("int").alias("item"),
+        days.alias("date"), (F.col("id") % 31).cast("float").alias("sales"),
+    )
+    rows = settled(hot.union(rest))
+    for leak_free in (False, True):
+        cut = features.demand_features(rows, leak_free, least_rows=100)
+        plain = features.demand_features(rows, leak_free, least_rows=1 << 40)
+        assert cut.exceptAll(plain).count() == 0 and plain.exceptAll(cut).count() == 0
+    chunks = features.series_chunks(rows, least_rows=100)
+    of_task = chunks.repartition(8, "store", "item", "_chunk").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in of_task) <= 2 * 60_000 / 8
+    sizes = [r["count"] for r in chunks.where("store = 1 and item = 1").groupBy("_chunk").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 3 * 60_000 / 128
+    plan = plan_text(features.demand_features(rows, least_rows=100))
+    scans_of_rows = plan.split("Union")[0]
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and scans_of_rows.count("Exchange hashpartitioning") == 1
+
+
+def test_series_that_are_not_long_keep_the_plain_window(spark):
+    assert features.series_chunks(tables.history(spark, SMOKE)) is None
+    assert features.series_chunks(tables.history(spark, SMOKE).limit(0), 16, 1) is None
+
+
+def test_cuts_order_nulls_and_nan_as_spark_does(spark):
+    nan = float("nan")
+    rows = [(1, None, d, v) for d in (None, "2020-01-01", "2020-01-02") for v in (None, 1.0, nan, -2.0)] * 3
+    df = spark.createDataFrame(rows, "store int, item int, d string, sales float").select(
+        "store", "item", F.to_date("d").alias("date"), "sales", F.monotonically_increasing_id().alias("n"))
+    df = settled(df)
+    at = [tuple(r[0]) for r in df.select(features._row_order(df)).collect()]
+    want = [tuple(r[0]) for r in df.select(features._row_order(df).alias("o")).orderBy("o").collect()]
+    assert repr(sorted(at, key=features._in_spark_order)) == repr(want)
+    chunks = features.series_chunks(df, 12, 1)
+    bounds = chunks.groupBy("_chunk").agg(F.min(features._row_order(df)).alias("lo"), F.max(features._row_order(df)).alias("hi"))
+    got = [x for r in bounds.orderBy("_chunk").collect() for x in (tuple(r["lo"]), tuple(r["hi"]))]
+    assert len(got) > 8 and sorted(got, key=features._in_spark_order) == got

@@ -83,3 +83,34 @@ def test_cutoff_split_keeps_undated_rows(spark):
     train, test = split.cutoff_split(df, "2013-06-01")
     assert [r["store"] for r in train.collect()] == [1]
     assert sorted(r["store"] for r in test.collect()) == [2, 3]
+
+
+def test_exact_split_is_exact_and_layout_free(spark):
+    panel = tables.panel(spark, SMOKE)
+    n = panel.count()
+    sides = [[sorted(map(str, s.collect())) for s in split.exact_split(df, 0.8)] for df in (panel, panel.repartition(11), panel.coalesce(1))]
+    assert len(sides[0][0]) == round(0.8 * n) and len(sides[0][1]) == n - round(0.8 * n)
+    assert sides[0] == sides[1] == sides[2]
+    assert sorted(sides[0][0] + sides[0][1]) == sorted(map(str, panel.collect()))
+    assert sorted(map(str, split.exact_split(panel, 0.8, seed=7)[0].collect())) != sides[0][0]
+
+
+def test_exact_split_of_repeated_rows(spark):
+    """Copies of one row share a place and are counted out; rows that share only
+    the key are told apart; shares of nothing and of all."""
+    import datetime as dt
+    day = dt.date(2020, 1, 1)
+    rows = [(1, 1, day, 5.0, None)] * 400 + [(1, 1, day, float(v), "x") for v in range(100)] + [(2, k, None, None, "y") for k in range(100)]
+    df = spark.createDataFrame(rows, "store int, item int, date date, sales float, note string").repartition(4)
+    for share in (0.0, 0.001, 0.3, 0.5, 0.6667, 0.9, 1.0):
+        train, test = split.exact_split(df, share)
+        assert (train.count(), test.count()) == (round(share * 600), 600 - round(share * 600))
+        assert train.schema == df.schema and train.unionAll(test).exceptAll(df).count() == 0
+    assert [s.count() for s in split.exact_split(df.limit(0), 0.8)] == [0, 0]
+
+
+def test_exact_split_shuffles_no_rows(spark):
+    df = spark.read.parquet(f"{SMOKE}/lineitem.parquet").select(
+        F.col("l_suppkey").alias("store"), F.col("l_linenumber").alias("item"), F.to_date("l_shipdate").alias("date"), "l_orderkey")
+    for side in split.exact_split(df):
+        assert "Exchange" not in side._jdf.queryExecution().executedPlan().toString()

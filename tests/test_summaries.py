@@ -55,3 +55,14 @@ def test_monthly_series_axis(panel):
 
 def test_sample_rows(panel):
     assert summaries.sample_rows(panel, 5).count() == 5
+
+
+def test_monthly_spine_fills_gaps(spark):
+    import datetime as dt
+    rows = [(1, dt.date(2020, 11, 30), 2.0), (1, dt.date(2021, 2, 1), 3.0), (1, dt.date(2021, 2, 9), None), (2, dt.date(2021, 1, 5), None), (2, None, 9.0), (None, dt.date(2020, 1, 1), 1.0)]
+    df = spark.createDataFrame(rows, "item int, date date, sales float")
+    got = [(r["item"], r["year"], r["month"], r["total_sales"]) for r in summaries.monthly_spine(df, "item").collect()]
+    assert got == [(None, 2020, 1, 1.0), (1, 2020, 11, 2.0), (1, 2020, 12, 0.0), (1, 2021, 1, 0.0), (1, 2021, 2, 3.0), (2, 2021, 1, 0.0)]
+    whole = summaries.monthly_spine(df).collect()
+    assert len(whole) == 14 and sum(r["total_sales"] for r in whole) == 6.0
+    assert summaries.monthly_spine(df.limit(0)).count() == 0

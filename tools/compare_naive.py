@@ -17,9 +17,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
 
 from forecastry.operators import profile, summaries  # noqa: E402
-from forecastry.plans.jobs import naive_profile  # noqa: E402
 from forecastry.session import get_session, materialize  # noqa: E402
 from forecastry.sources import tables  # noqa: E402
 
@@ -30,6 +30,15 @@ def timed(fn) -> float:
     return round(time.perf_counter() - t0, 3)
 
 
+def naive_profile(df) -> dict:
+    """One Spark job per statistic."""
+    out = {c: df.filter(F.col(c).isNull()).count() for c in df.columns}
+    out["mean"] = df.agg(F.avg("sales")).first()[0]
+    for a, b in (("store", "item"), ("store", "sales"), ("item", "sales")):
+        out[f"corr_{a}_{b}"] = df.agg(profile.corr_column(a, b, True)).first()[0]
+    return out
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session(master="local[8]", shuffle_partitions=8)
