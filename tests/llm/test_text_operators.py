@@ -5,6 +5,7 @@ import re
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from llm_cases import edges  # noqa: F401
 
@@ -129,6 +130,66 @@ def test_decontamination_edges(spark, edges):
     assert decontam.find_overlaps(edges.limit(0), bench).count() == 0
 
 
+def plain_longest(doc, items, window):
+    """Longest matches by walking every diagonal."""
+    out = set()
+    for item, ws in items:
+        n = min(window, len(ws))
+        for p in range(len(doc) - n + 1):
+            for i in range(len(ws) - n + 1):
+                k = 0
+                while p + k < len(doc) and i + k < len(ws) and doc[p + k] == ws[i + k]:
+                    k += 1
+                before = p and i and doc[p - 1] == ws[i - 1]
+                if n and k >= n and not before:
+                    out.add((item, i, p, k))
+    return out
+
+
+@settings(max_examples=150, deadline=None, derandomize=True)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=30), max_size=4), st.lists(st.lists(st.sampled_from("ab"), max_size=20), min_size=1, max_size=4))
+def test_longest_matches_equal_every_diagonal(docs, texts):
+    items = [(str(i), " ".join(t)) for i, t in enumerate(texts)]
+    index = decontam.index_items(items, 4)
+    ids = [np.array([index.vocabulary.get(w.encode(), 0) for w in d], dtype=np.int64) for d in docs]
+    got = decontam.search_shard(ids, index, decontam.window_keys(index)) if index.windows and ids else [(0, [])] * len(ids)
+    longest = max((len(w) for w in index.windows), default=0)
+    for d, (_, matches) in zip(docs, got):
+        if longest == 4:  # else no item has a whole window
+            assert set(matches) == plain_longest(d, [(str(i), t) for i, t in enumerate(texts)], 4)
+
+
+def test_repetitive_texts_cost_their_length():
+    import time
+    import tracemalloc
+
+    index = decontam.index_items([("r", "a " * 2_000), ("s", "a " * 500 + "b")], 10)
+    keys, doc = decontam.window_keys(index), [np.ones(20_000, dtype=np.int64)]
+    began = time.perf_counter()
+    tracemalloc.start()
+    found = decontam.find_windows(doc, index, keys, False)
+    assert found[0].ranges == [(0, 20_000)] and {i for k in found[0].sets for i in index.sets[k]} == {"r", "s"}
+    n_hit, matches = decontam.search_shard(doc, index, keys)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n_hit == 20_000 and len(matches) > 20_000 and max(m[3] for m in matches) == 2_000
+    assert time.perf_counter() - began < 20 and peak < 200 << 20
+
+
+def test_a_benchmark_in_parts_gives_the_same(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("overlap", F.lit("x"))
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    bench = bench.union(bench.limit(3))  # repeated items
+    for matches in (True, False):
+        monkeypatch.undo()
+        whole = decontam.find_overlaps(docs, bench, window=5, matches=matches)
+        monkeypatch.setattr(decontam, "PIECE_WORDS", 25)  # most items are cut
+        parts = decontam.find_overlaps(docs, bench, window=5, matches=matches, part_bytes=2_000)
+        a, b = (sorted(map(str, x.select("doc_id", "overlap").collect())) for x in (whole, parts))
+        assert a == b and whole.where("overlap.n_hit > 0").count() > 2
+    assert parts.columns == whole.columns == docs.columns
+
+
 def test_kneser_ney_probabilities_sum_to_one_and_match_counts(spark):
     docs = spark.createDataFrame([("the cat sat on the mat. the end",), ("a cat ate the rat",)], "text string")
     orders = quality.fit(docs)
