@@ -13,9 +13,11 @@ sample associates with a category (chi-square over ``LEAST_CHI2``, at most
 the best F1 out of fold.  Scoring is one pass over all whole texts, no shuffle.
 
 Edge cases: null or empty text has no words and gets what the intercepts give;
-a null label counts as not known and leaves the row out of the sample; a null
-id stays null and is never sampled; repeated rows are scored each; without any
-labelled document probabilities are null and no flag is set.
+a null label counts as not known and leaves the row out of the sample; an id with
+several rows of labels has each label that any of them gives; a labelled id with
+several rows of text is one document of the sample, by the text that comes first
+by digest; a null id stays null and is never sampled; repeated rows are scored
+each; without any labelled document probabilities are null and no flag is set.
 """
 
 from __future__ import annotations
@@ -144,12 +146,16 @@ def _sparse(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 def fit(df: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text"):
     """(vocabulary, [(model, limit), ...]) from ``labels`` (doc_id and one 0/1
     column a category); None without labelled documents."""
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"),
-                          *[F.col(c).cast("double").alias(f"y{k}") for k, c in enumerate(categories)]).dropna()
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", *[f"y{k}" for k in range(len(categories))]).limit(SAMPLE)
-    sample = sample.dropDuplicates(["doc_id"])
-    docs = checkpointed(id_and_text(df, id_col, text_col).join(F.broadcast(sample), "doc_id"))
     ys = [f"y{k}" for k in range(len(categories))]
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"),
+                          *[F.col(c).cast("double").alias(y) for y, c in zip(ys, categories)]).dropna()
+    known = known.groupBy("doc_id").agg(*[F.max(y).alias(y) for y in ys])
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    # one row an id, however many the table has: at most SAMPLE rows
+    docs = checkpointed(
+        id_and_text(df, id_col, text_col).join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", *ys).agg(F.min_by("text", F.md5(F.coalesce("text", F.lit("")))).alias("text"))
+    )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
