@@ -10,12 +10,13 @@ whose estimate plus bound reaches that score is scored exactly.  Only those.
 
 The stated query set runs against all rows in blocks: rows are dealt evenly
 into blocks of at most about ``BLOCK_ROWS`` (by row number, so copies and hot ids
-spread), queries into blocks of about ``BLOCK_QUERIES``, and a query block
-meets every row block by an equi-join on the row block's number.  A task holds
-one of each.  A query's best of each block are merged in a stream.
+spread), queries into blocks of about ``BLOCK_QUERIES``, and every pair of a query
+block and a row block is a group of its own, joined by both numbers, so pairs
+spread over all tasks.  A query's best of each block are merged in a stream.
 
-Edge cases: vectors that are null, empty, zero, of another length than most, or
-hold a null or non-finite component take no part, nor do rows with a null id;
+Vectors of different lengths have no inner product: each length is searched by
+itself.  Edge cases: vectors that are null, empty, zero, or hold a null or
+non-finite component take no part, nor do rows with a null id;
 rows with the query's id are the query's own; ties go to the smaller id; with
 fewer candidates than ``k`` all are returned; an empty table gives no rows.
 """
@@ -152,15 +153,30 @@ def nearest(
         & F.exists("v", lambda c: c != 0)
     )
     is_query = F.col("vec_id") % query_every == 0
-    most = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).orderBy(
-        F.desc("n"), "d").first()
-    if most is None or not most.q:
-        return df.sparkSession.createDataFrame([], SCHEMA)
-    d, query_blocks = most.d, -(-most.q // BLOCK_QUERIES)
-    blocks = -(-most.n // max(256, min(BLOCK_ROWS, BLOCK_COMPONENTS // d)))
-    rows = rows.where(F.size("v") == d)
-    sums = rows.select(F.posexplode("v").alias("i", "c")).groupBy("i").agg(F.avg("c").alias("c")).orderBy("i").collect()
-    centre = [r.c for r in sums]
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q"))
+    found = df.sparkSession.createDataFrame([], SCHEMA)
+    for r in lengths.where("q > 0").orderBy("d").collect():
+        found = found.union(_of_length(rows.where(F.size("v") == r.d), r.d, r.n, r.q, is_query, k))
+    return found
+
+
+def _centre(rows: DataFrame, d: int, n: int) -> list[float]:
+    """The mean vector: every task adds its rows up."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(d)
+        for batch in batches:
+            total += np.asarray(batch.column("v").flatten(), np.float64).reshape(-1, d).sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(d)), pa.array(total)], names=["i", "c"])
+
+    sums = rows.select("v").mapInArrow(add, "i long, c double").groupBy("i").agg(F.sum("c").alias("c"))
+    return [r.c / n for r in sums.orderBy("i").collect()]
+
+
+def _of_length(rows: DataFrame, d: int, n: int, n_queries: int, is_query, k: int) -> DataFrame:
+    query_blocks = -(-n_queries // BLOCK_QUERIES)
+    blocks = -(-n // max(256, min(BLOCK_ROWS, BLOCK_COMPONENTS // d)))
+    centre = _centre(rows, d, n)
 
     def blocked(part: DataFrame, n: int, at: list[float] | None, fields: str) -> DataFrame:
         dealt = part.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(n)))
@@ -168,10 +184,12 @@ def nearest(
             lambda batches: _pack(batches, d, at), f"block long, ids binary, x binary{fields}"
         )
 
-    of_rows = blocked(rows, blocks, centre, ", bits binary, length binary, cosine binary")
+    def numbers(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+
+    of_rows = blocked(rows, blocks, centre, ", bits binary, length binary, cosine binary").withColumn("query_block", numbers(query_blocks))
     of_queries = blocked(rows.where(is_query), query_blocks, None, "").select(
-        F.col("block").alias("query_block"), F.col("ids").alias("q_ids"), F.col("x").alias("q"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("block"),
+        F.col("block").alias("query_block"), F.col("ids").alias("q_ids"), F.col("x").alias("q"), numbers(blocks).alias("block"),
     )
 
     def search(group: pa.Table) -> pa.Table:
@@ -190,7 +208,7 @@ def nearest(
             "scores": pa.array([s.tolist() for _, _, s in out], pa.list_(pa.float64())),
         })
 
-    found = of_rows.join(of_queries, "block").groupBy("block", "query_block").applyInArrow(
+    found = of_rows.join(of_queries, ["block", "query_block"]).groupBy("block", "query_block").applyInArrow(
         search, "query_id long, ids array<long>, scores array<double>"
     )
     return found.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(
