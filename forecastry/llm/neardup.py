@@ -19,13 +19,15 @@
    inverted index, and only as many links as keep the components are sent on.
    A cluster of more than ``CLUSTER_SHINGLES`` shingles is cut into blocks and
    every pair of blocks is one piece of work of bounded size: nothing is capped.
-4. Confirmed links are contracted to components.
+4. Confirmed links, and those between the classes of an id with several texts, are
+   contracted to components.
 
 Two sets at the threshold 0.85 meet in no tree with probability 2e-7 (0.8:
 1e-5).  Edge cases: null or empty text has an empty set, is linked with
 nothing and is its own component; a text of fewer words than a shingle is one
-shingle; a null doc_id takes no part (component null); rows repeating a doc_id
-are placed each by their own text; an empty table gives no rows.
+shingle; a null doc_id takes no part (component null); a doc_id with several texts
+is linked as all of them, and its rows are all in its component, but a row without
+words is its own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from forecastry.llm.common import LOWER, checkpointed, id_and_text
+from forecastry.llm.common import LOWER, checkpointed, fresh, id_and_text
 from forecastry.llm.graph import connected_components
 from forecastry.session import drop_scratch, scratch_path
 
@@ -49,6 +51,7 @@ PREFIX = 3
 REACH = 12
 CLUSTER_SHINGLES = 1_000_000
 REGION_ROWS = 65_536
+FILTER_BITS = 1 << 23  # 1 MB
 #: Simple types that cannot be sorted by.
 UNORDERED = ("variant", "interval", "void")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -349,6 +352,32 @@ def confirmed(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int)
     yield from links()
 
 
+def _among(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose id is in no cluster: a filter in the scan
+    by a table of ``FILTER_BITS`` bits, of the same size whatever the number of ids,
+    so that few other texts are shuffled by the join that follows."""
+    hashed = F.xxhash64(F.col("node"))
+    words = FILTER_BITS // 32
+    marks = clusters.select(
+        F.pmod(hashed, F.lit(words)).cast("int").alias("word"),
+        F.pmod(F.shiftrightunsigned(hashed, 32), F.lit(32)).cast("int").alias("bit"),
+    ).groupBy("word").agg(*[F.max(F.col("bit") == b).alias(f"b{b}") for b in range(32)])
+    packed = marks.select("word", F.expr(" + ".join(f"if(b{b}, {1 << b}L, 0L)" for b in range(32))).alias("bits"))
+    table = np.zeros(words, np.uint32)
+    for batch in packed.toArrow().to_batches():  # at most FILTER_BITS / 32 rows of 12 bytes
+        table[np.asarray(batch.column("word"))] = np.asarray(batch.column("bits")).astype(np.uint32)
+    known = docs.sparkSession.sparkContext.broadcast(table)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = np.asarray(batch.column("h"))
+            hit = (known.value[h % words] >> ((h.view(np.uint64) >> np.uint64(32)) % np.uint64(32)).astype(np.uint32)) & np.uint32(1)
+            yield batch.select(["doc_id", "text"]).filter(pa.array(hit == 1))
+
+    hashes = docs.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    return hashes.mapInArrow(keep, "doc_id long, text string")
+
+
 def _percent(threshold: float) -> tuple[int, int]:
     return round(threshold * 1000), 1000
 
@@ -358,11 +387,12 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest
     doc_id reachable over links of at least ``threshold``), kept."""
-    return _placed(df, threshold, shingle, id_col, text_col).drop("digest")
+    return _placed(df, threshold, shingle, id_col, text_col, by_id=True).drop("digest")
 
 
-def _placed(df: DataFrame, threshold: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """The rows of :func:`near_duplicates`, with the digest of each one's text."""
+def _placed(df: DataFrame, threshold: float, shingle: int, id_col: str, text_col: str, by_id: bool) -> DataFrame:
+    """The rows of :func:`near_duplicates`, with the digest of each one's text;
+    ``by_id``: the texts of one id are linked."""
     spark = df.sparkSession
     num, den = _percent(threshold)
     docs = id_and_text(df, id_col, text_col)
@@ -386,10 +416,16 @@ def _placed(df: DataFrame, threshold: float, shingle: int, id_col: str, text_col
     members = in_block_pairs(clusters, ["cluster"], weights)
     group = ["cluster", "i", "j"]
     links = (
-        docs.join(members, docs.doc_id == members.node).select(*group, "node", "text")
+        _among(docs, clusters).join(members, F.col("doc_id") == members.node).select(*group, "node", "text")
         .repartition(*group).sortWithinPartitions(*group, "node")
         .mapInArrow(lambda batches: confirmed(batches, shingle, num, den), "a long, b long")
     )
+    if by_id:
+        several = with_set.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo < hi")
+        of_several = with_set.select("doc_id", "set_key").join(several.select("doc_id"), "doc_id").join(
+            classes.select("set_key", "node"), "set_key"
+        )
+        links = links.union(of_several.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     roots = connected_components(links)
     of_class = classes.select("set_key", "node").join(roots, "node", "left").select(
         "set_key", F.coalesce("root", "node").alias("found")
@@ -408,22 +444,25 @@ def drop_near_duplicates(
     df: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``df`` without those whose own text's component has a smaller
-    doc_id.  Of rows that repeat an id and a text the one that comes first by
-    its other (atomic) columns stays; among rows with a null id, which take no
-    part otherwise, so does one of each text.  Rows without a word all stay."""
-    key = [F.col(f"`{id_col}`").cast("long").alias("__id"), F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))).alias("__digest")]
-    found = _placed(df, threshold, shingle, id_col, text_col).where("n_shingles > 0")
+    doc_id; another text of the same id is judged for itself, so no text is lost
+    that is unlike all others.  Of rows that repeat an id and a text the one that
+    comes first by its other (atomic) columns stays; among rows with a null id,
+    which take no part otherwise, so does one of each text.  Rows without a word
+    all stay."""
+    id_, digest, n_ = (fresh(df, c) for c in ("__id", "__digest", "__n"))
+    key = [F.col(f"`{id_col}`").cast("long").alias(id_), F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))).alias(digest)]
+    found = _placed(df, threshold, shingle, id_col, text_col, by_id=False).where("n_shingles > 0")
     marks = found.groupBy("doc_id", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce("kept", F.lit(True))).alias("kept")
     ).where("n > 1 or not kept")
     rows = df.select("*", *key)
 
     def same(marks: DataFrame):
-        return rows["__id"].eqNullSafe(marks.doc_id) & (rows["__digest"] == marks.digest)
+        return rows[id_].eqNullSafe(marks.doc_id) & (rows[digest] == marks.digest)
 
     single = rows.join(marks, same(marks), "left_anti")
     again = marks.where("kept")
     atomic = [F.col(f"`{f.name}`") for f in df.schema if isinstance(t := f.dataType.jsonValue(), str) and t not in UNORDERED]
-    first = Window.partitionBy("__id", "__digest").orderBy(*atomic)
-    repeated = rows.join(again, same(again), "left_semi").withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    return single.unionByName(repeated.drop("__n")).drop("__id", "__digest")
+    first = Window.partitionBy(id_, digest).orderBy(*atomic)
+    repeated = rows.join(again, same(again), "left_semi").withColumn(n_, F.row_number().over(first)).where(F.col(n_) == 1)
+    return single.unionByName(repeated.drop(n_)).drop(id_, digest)
