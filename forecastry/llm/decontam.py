@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecastry.llm.common import LOWER
+from forecastry.llm.common import LOWER, fresh
 from forecastry.session import drop_scratch, scratch_path
 
 SHARD_WORDS = 2_000_000
@@ -376,8 +376,8 @@ def _search_part(rows: DataFrame, index, window: int, text_col: str, into: str,
 
 def remove_contaminated(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` without any benchmark window, all columns as they were."""
-    found = find_overlaps(df, benchmark, into="__overlap", matches=False, **options)
-    return found.where("__overlap.n_hit = 0").drop("__overlap")
+    into = fresh(df, "__overlap")
+    return find_overlaps(df, benchmark, into=into, matches=False, **options).where(F.col(into)["n_hit"] == 0).drop(into)
 
 
 def items_digest(items: list[str]) -> str:
