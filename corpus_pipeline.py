@@ -4,6 +4,13 @@ Every stage works on all rows its predecessor kept and takes effect: three
 drop documents, one masks text, the last returns packed pieces.  A stage's
 result is a Parquet table in the shared folder and the next stage reads it, so
 a lost executor costs at most the running stage.
+
+Edge cases: null and empty texts are rejected by the first stage; rows that repeat
+an id and a text leave one row, rows of an id with several texts go or stay
+together, and a null id stays null throughout (near duplicates take it for no
+document but drop its copies); columns beside those of documents are kept up to the
+last stage, whatever their names; an empty table gives no pieces, and without
+labels or benchmark items those stages drop nothing but empty text.
 """
 
 from __future__ import annotations
@@ -14,7 +21,7 @@ from pyspark.sql import functions as F
 
 from forecastry.llm import decontam, neardup, packing, pii, quality
 from forecastry.llm.common import table
-from forecastry.session import drop_scratch, scratch_path
+from forecastry.session import drop_scratch, scratch_path, settled
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,14 +63,13 @@ STAGES = [
 ]
 
 # The language model, the similarity links and the packing have no SQL form;
-# tests/llm compares the operators' parts with plain versions, and of run() only
-# checks the share of documents left, and that no near copy or contaminated id is.
+# tests/llm compares each stage's rows with a plain version on that stage's input.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written and read again, and a
-    table that the next stage has read is removed."""
+    table that has been read is removed, the last one's once checkpointed."""
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
@@ -72,4 +78,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before:
             drop_scratch(spark, before)
         before = path
-    return docs
+    return settled(docs, before)

@@ -55,6 +55,35 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == brute_components(rows)
 
 
+def test_an_id_with_several_texts_links_their_components(spark):
+    a, b, c = near_copies(3, 3)[0], near_copies(4, 3)[0], near_copies(5, 3)[0]
+    rows = [(3, a), (5, a), (5, b), (7, b), (7, b), (9, c), (9, ""), (2, "one two"), (9, "one two"), (11, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles > 0, r.component_id, r.kept) for r in neardup.near_duplicates(df, 0.85).collect())
+    root = brute_components(rows)
+    assert {k: root[k] for k in (3, 5, 7)} == dict.fromkeys((3, 5, 7), 3) and root[9] == 2
+    want = [(d, bool(t), root[d] if t else d, d == (root[d] if t else d)) for d, t in rows]
+    assert got == sorted(want)
+
+
+def test_the_scan_filter_keeps_every_member(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "FILTER_BITS", 64)  # two words: nearly everything passes, nothing wanted is lost
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    members = spark.range(0, 3000, 7).select(F.col("id").alias("node"))
+    for bits in (64, 1 << 23):
+        monkeypatch.setattr(neardup, "FILTER_BITS", bits)
+        left = {r.doc_id for r in neardup._among(docs, members).collect()}
+        assert set(range(0, 3000, 7)) <= left
+    assert len(left) < 440  # few others
+
+
+def test_components_of_a_long_chain(spark):
+    n = 5000  # a path: more rounds than any of the others
+    links = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = {r.node: r.root for r in graph.connected_components(links).collect()}
+    assert got == dict.fromkeys(range(n), 0)
+
+
 def test_large_clusters_in_blocks_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(neardup, "CLUSTER_SHINGLES", 900)  # a group of 40 copies takes about ten blocks
     rows = list(enumerate(near_copies(9, 40)))
@@ -166,6 +195,19 @@ def test_nearest_equals_brute_force(spark, monkeypatch, rows_per_block):
     assert len(got & want) / len(want) > 0.99
 
 
+def test_nearest_searches_each_length(spark):
+    r = np.random.RandomState(1)
+    rows = [(i, r.normal(size=3 + i % 3).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(x.query_id, x.rank): x.vec_id for x in ann.nearest(df, k=4).collect()}
+    want = {}
+    for q, v in rows:
+        if q % 20 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v))
+            want |= {(q, k): i for k, (_, i) in enumerate(scores[:4], 1)}
+    assert got.keys() == want.keys() and np.mean([got[k] == want[k] for k in want]) > 0.97
+
+
 def test_nearest_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (20, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]),

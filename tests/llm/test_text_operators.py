@@ -202,6 +202,82 @@ def test_kneser_ney_probabilities_sum_to_one_and_match_counts(spark):
     assert quality.perplexity("the cat sat", orders) < quality.perplexity("|| !! ||", orders)
 
 
+class PlainKneserNey:
+    """Interpolated modified Kneser-Ney, by dictionaries and the definition."""
+
+    def __init__(self, texts, order):
+        from collections import Counter
+
+        self.order, self.counts = order, {}
+        top = Counter()
+        for text in texts:
+            for k in range(order - 1, len(text)):
+                top[tuple(text[k - order + 1 : k + 1])] += 1
+        self.counts[order] = top
+        for n in range(order - 1, 0, -1):  # distinct symbols before
+            self.counts[n] = Counter(g[1:] for g in self.counts[n + 1])
+        self.d = {n: self.discounts(c) for n, c in self.counts.items()}
+
+    @staticmethod
+    def discounts(counts):
+        n = [0] + [sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)]
+        if not (n[1] and n[2]):
+            return [0, 0.5, 0.5, 0.5]
+        y = n[1] / (n[1] + 2 * n[2])
+        raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.0]
+        return [0] + [min(max(x, 0.05), k + 0.95) for k, x in enumerate(raw)]
+
+    def p(self, gram):
+        n = len(gram)
+        if not n:
+            return 1 / quality.ALPHABET
+        seen = {g: c for g, c in self.counts[n].items() if g[:-1] == gram[:-1]}
+        lower = self.p(gram[1:])
+        if not seen:
+            return lower
+        d, total = self.d[n], sum(seen.values())
+        c = seen.get(gram, 0)
+        return (c - d[min(c, 3)]) / total + sum(d[min(x, 3)] for x in seen.values()) / total * lower
+
+
+def test_kneser_ney_equals_the_plain_definition(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars between 60 and 400").orderBy("doc_id").limit(9).collect()
+    texts, table = [r.text for r in rows], quality.symbol_classes()
+    orders = quality.fit(spark.createDataFrame([(t,) for t in texts[:6]], "text string"))
+    nll = quality.log_probabilities(orders)
+    symbols = [[0] * (quality.ORDER - 1) + table[np.frombuffer(t.encode(), np.uint8)].tolist() for t in texts]
+    plain = PlainKneserNey(symbols[:6], quality.ORDER)
+    for t, s in zip(texts, symbols):  # trained on, and not
+        want = [-np.log(plain.p(tuple(s[k : k + quality.ORDER]))) for k in range(0, min(len(t), 60))]
+        assert np.allclose(nll[quality.ngram_codes(t, table)][: len(want)], want, rtol=1e-3, atol=1e-4)
+
+
+def test_limits_move_smoothly_with_the_number_of_labels(spark, monkeypatch):
+    """One more trusted document never turns the rule of a language over."""
+    r = np.random.RandomState(5)
+    rows = [(i, "xx", float(n * m), float(n * (m * m + 1)), int(n)) for i, (n, m) in enumerate(zip(r.randint(50, 500, 600), r.normal(2.5, 0.05, 600)))]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, nll double, nll2 double, n_symbols long").persist()
+    high = []
+    for n in (0, 1, 10, 30, 45, 49, 50, 51, 55, 80, 300):
+        ids = spark.createDataFrame([(i,) for i in range(n)], "doc_id long")
+        (row,) = quality.fit_limits(scored, ids).collect()
+        high.append(row.high)
+        assert row.low < 0 < row.high
+    assert abs(high[5] - high[6]) < 0.1 * high[5] and abs(high[6] - high[7]) < 0.1 * high[6]
+    assert high[0] > high[-1]
+    one = scored.limit(1)
+    (row,) = quality.fit_limits(one, spark.createDataFrame([], "doc_id long")).collect()
+    assert row.high > 300  # one document tells little: its fences are far
+
+
+def test_more_languages_than_are_broadcast(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    trusted = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").where("quality = 1").select("doc_id")
+    a = sorted(map(str, quality.judge(docs, trusted).select("doc_id", "quality").collect()))
+    monkeypatch.setattr(quality, "BROADCAST_LANGUAGES", 0)
+    assert sorted(map(str, quality.judge(docs, trusted).select("doc_id", "quality").collect())) == a
+
+
 def test_quality_keeps_trusted_text_and_rejects_junk(spark, edges):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
@@ -247,6 +323,53 @@ def test_toxicity_chain_on_held_out_rows(spark):
         assert (got[f"is_{c}"] == got[c].astype(bool)).mean() > 0.97
 
 
+def test_toxicity_scores_equal_a_plain_chain(spark):
+    """The fitted chain applied by hand, document by document; each later model
+    sees the probabilities before it, in order."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").selectExpr("doc_id", "1 - quality AS low", "toxic")
+    vocabulary, chain = toxicity.fit(docs, labels, ["low", "toxic"])
+    got = {r.doc_id: r for r in toxicity.score(docs, labels, ["low", "toxic"]).collect()}
+    assert len(chain[1][1]) == toxicity.FORM + 1
+    for r in docs.where("doc_id % 9 = 0").collect():
+        seen, dense = toxicity.features(r.text or "", vocabulary)
+        for c, (word, weights, bias, limit) in zip(("low", "toxic"), chain):
+            p = 1 / (1 + np.exp(-(sum(word[k] for k in seen) + sum(w * x for w, x in zip(weights, dense)) + bias)))
+            assert abs(got[r.doc_id][f"p_{c}"] - p) < 2e-6
+            assert got[r.doc_id][f"is_{c}"] == (p > limit) or abs(p - limit) < 1e-9
+            dense = [*dense, p]
+
+
+def test_logistic_fit_is_at_its_optimum():
+    r = np.random.RandomState(2)
+    lists = [sorted(set(r.randint(0, 12, 4).tolist())) for _ in range(300)]
+    ptr, idx = toxicity._sparse(lists)
+    dense = r.normal(size=(300, 2))
+    y = (r.rand(300) < 1 / (1 + np.exp(-(dense[:, 0] - np.array([2 * (3 in x) for x in lists]))))).astype(float)
+    m = toxicity.Linear(12, 2).fit(ptr, idx, dense, y, steps=3000)
+    error = m.predict(ptr, idx, dense) - y
+    x = np.zeros((300, 12))
+    for k, words in enumerate(lists):
+        x[k, words] = 1
+    gradient = np.concatenate([x.T @ error, dense.T @ error, [error.sum()]]) / 300
+    assert np.abs(gradient).max() < 2e-3  # but for the small ridge
+
+
+def test_toxicity_sample_is_one_row_an_id(spark):
+    """A labelled id repeated many times, and contradicting labels."""
+    rows = [(1, f"bad text {k % 3}") for k in range(3000)] + [(k, f"text {k}") for k in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (1, 1), (2, 0), (3, 0), (3, 1)], "doc_id long, toxic int")
+    taken = []
+    original = toxicity.fit_chain
+    toxicity.fit_chain = lambda ptr, idx, dense, y, n: taken.append(y) or original(ptr, idx, dense, y, n)
+    try:
+        assert toxicity.score(docs, labels, ["toxic"]).count() == len(rows)
+    finally:
+        toxicity.fit_chain = original
+    assert sorted(taken[0].ravel().tolist()) == [0.0, 1.0, 1.0]
+
+
 def test_toxicity_edges(spark, edges):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.score(edges, none, ["toxic"]).collect()
