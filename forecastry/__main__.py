@@ -6,7 +6,7 @@
     python -m forecastry explore  --processed P --eda E
     python -m forecastry features --processed P --features F [--leak-free]
     python -m forecastry train    --features F --predictions O --models M [--forest tuned|light]
-    python -m forecastry status   --runs R --jobs J --listing L --out O
+    python -m forecastry status   --runs R --jobs J (--listing L | --tree FOLDER) --out O
 
 Reports (profiles, RMSE) are printed as one JSON line.
 """
@@ -21,14 +21,14 @@ import sys
 from forecastry.plans import jobs
 from forecastry.schema import SEED
 from forecastry.session import get_session
-from forecastry.sources import read_parquet, write_parquet
+from forecastry.sources import list_objects, read_parquet, write_parquet
 from forecastry.streaming import ingest_stream
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="forecastry")
     sub = p.add_subparsers(dest="cmd", required=True)
-    common = {"--seed": {"type": int, "default": SEED}, "--split-mode": {"choices": ["random", "hash", "cutoff"], "default": "random"}}
+    common = {"--seed": {"type": int, "default": SEED}, "--split-mode": {"choices": ["random", "exact", "hash", "cutoff"], "default": "random"}}
 
     a = sub.add_parser("ingest", help="raw CSV -> typed, imputed, scaled Parquet (+ split CSVs, summaries)")
     for k in ("--raw", "--processed"):
@@ -54,7 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--partition-by", nargs="*")
     a.add_argument("--unique-keys", choices=["trust", "sum"], default="trust")
     a.add_argument("--chunk-days", type=int)
-    a.add_argument("--pieces", type=int, help="cut the table into so many row ranges (hot series)")
+    a.add_argument("--pieces", type=int, help="cut series of more than 1 / so many of all rows")
     a = sub.add_parser("train", help="fit least squares + forest, RMSE, predictions, saved models")
     for k in ("--features", "--predictions", "--models"):
         a.add_argument(k, required=True)
@@ -63,8 +63,11 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--handle-invalid", choices=["error", "skip", "keep"], default="error")
     a.add_argument("--cutoff", help="first date of the test side, with --split-mode cutoff")
     a = sub.add_parser("status", help="latest run per job, newest artefact per prefix")
-    for k in ("--runs", "--jobs", "--listing", "--out"):
+    for k in ("--runs", "--jobs", "--out"):
         a.add_argument(k, required=True)
+    which = a.add_mutually_exclusive_group(required=True)
+    which.add_argument("--listing", help="a Parquet table of prefix, key, last_modified")
+    which.add_argument("--tree", help="a folder whose files are listed; prefixes are its first folders")
     for name in ("ingest", "ingest-v1", "train"):
         for flag, kw in common.items():
             sub.choices[name].add_argument(flag, **kw)
@@ -96,8 +99,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         out = jobs.train(spark, args.features, args.predictions, args.models, args.forest, args.seed,
                          args.split_mode, args.keep_keys, args.handle_invalid, args.cutoff)
     else:
-        rep = jobs.status_report(read_parquet(spark, args.runs), read_parquet(spark, args.jobs),
-                                 read_parquet(spark, args.listing))
+        if args.tree:
+            listing = list_objects(spark, args.tree).select("prefix", "key", "last_modified")
+        else:
+            listing = read_parquet(spark, args.listing)
+        rep = jobs.status_report(read_parquet(spark, args.runs), read_parquet(spark, args.jobs), listing)
         for name, df in rep.items():
             write_parquet(df, os.path.join(args.out, name))
         out = {}

@@ -93,6 +93,16 @@ def test_command_line(spark, zones):
     main(["status", "--runs", runs, "--jobs", os.path.join(root, "jobs"), "--listing", os.path.join(root, "listing"),
           "--out", os.path.join(root, "status")], spark=spark)
     assert spark.read.parquet(os.path.join(root, "status", "artefacts")).count() == 5
+    main(["status", "--runs", runs, "--jobs", os.path.join(root, "jobs"), "--tree", root, "--out", os.path.join(root, "of-tree")], spark=spark)
+    found = {r["prefix"] for r in spark.read.parquet(os.path.join(root, "of-tree", "artefacts")).collect()}
+    assert {"processed", "features", "models", "runs", "training"} <= found
+
+
+def test_exact_shares_of_ingest(spark, zones):
+    root = tempfile.mkdtemp(prefix="fc-exact-")
+    jobs.ingest(spark, zones["raw"], os.path.join(root, "p"), os.path.join(root, "t"), split_mode="exact")
+    rows = [spark.read.option("header", "true").csv(os.path.join(root, "t", f)).count() for f in ("train.csv", "test.csv")]
+    assert rows == [round(0.8 * zones["n"]), zones["n"] - round(0.8 * zones["n"])]
 
 
 def test_features_unique_keys_sum(spark, zones):
