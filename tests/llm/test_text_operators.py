@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -190,15 +191,24 @@ def test_a_benchmark_in_parts_gives_the_same(spark, monkeypatch):
     assert parts.columns == whole.columns == docs.columns
 
 
+def distinct_words(texts):
+    return sorted({w for t in texts for w in quality.WORD.findall(t or "")})
+
+
+def test_every_character_is_in_one_word():
+    for text in ("", " \n\t ", "the cat,  sat...\n\nÄrger", "x" * 100 + " " + "%" * 70, "a_b 12\U0001f600"):
+        words = quality.WORD.findall(text)
+        assert "".join(words) == text and all(len(w) <= 33 for w in words)
+
+
 def test_kneser_ney_probabilities_sum_to_one_and_match_counts(spark):
-    docs = spark.createDataFrame([("the cat sat on the mat. the end",), ("a cat ate the rat",)], "text string")
-    orders = quality.fit(docs)
+    words = distinct_words(["the cat sat on the mat. the end", "a cat ate the rat"])
+    orders = quality.fit(spark.createDataFrame([(w,) for w in words], "word string"))
     p = np.exp(-quality.log_probabilities(orders).astype(np.float64)).reshape(-1, quality.ALPHABET)
     assert np.allclose(p.sum(1), 1, atol=1e-4)
-    codes, n = np.unique(np.concatenate([quality.ngram_codes(r.text, quality.symbol_classes()) for r in docs.collect()]),
-                         return_counts=True)
-    g = orders[-1][0]
-    assert sorted(g.tolist()) == codes.tolist()
+    code, sizes = quality.word_codes(words, quality.symbol_classes())
+    assert sizes.tolist() == [len(w) + 1 for w in words]
+    assert sorted(orders[-1][0].tolist()) == np.unique(code).tolist()
     assert quality.perplexity("the cat sat", orders) < quality.perplexity("|| !! ||", orders)
 
 
@@ -240,16 +250,66 @@ class PlainKneserNey:
         return (c - d[min(c, 3)]) / total + sum(d[min(x, 3)] for x in seen.values()) / total * lower
 
 
+def symbols_of(word):
+    raw = np.frombuffer(word.encode(), np.uint8)
+    return [0] * (quality.ORDER - 1) + quality.symbol_classes()[raw].tolist() + [0]
+
+
 def test_kneser_ney_equals_the_plain_definition(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars between 60 and 400").orderBy("doc_id").limit(9).collect()
-    texts, table = [r.text for r in rows], quality.symbol_classes()
-    orders = quality.fit(spark.createDataFrame([(t,) for t in texts[:6]], "text string"))
-    nll = quality.log_probabilities(orders)
-    symbols = [[0] * (quality.ORDER - 1) + table[np.frombuffer(t.encode(), np.uint8)].tolist() for t in texts]
-    plain = PlainKneserNey(symbols[:6], quality.ORDER)
-    for t, s in zip(texts, symbols):  # trained on, and not
-        want = [-np.log(plain.p(tuple(s[k : k + quality.ORDER]))) for k in range(0, min(len(t), 60))]
-        assert np.allclose(nll[quality.ngram_codes(t, table)][: len(want)], want, rtol=1e-3, atol=1e-4)
+    words = distinct_words(r.text for r in rows[:6])
+    orders = quality.fit(spark.createDataFrame([(w,) for w in words], "word string"))
+    plain = PlainKneserNey([symbols_of(w) for w in words], quality.ORDER)
+    asked = distinct_words(r.text for r in rows)[::3]  # trained on, and not
+    got, sizes = quality.spelled(asked, quality.log_probabilities(orders), quality.symbol_classes())
+    for w, x, size in zip(asked, got, sizes):
+        s = symbols_of(w)
+        want = [-np.log(plain.p(tuple(s[k : k + quality.ORDER]))) for k in range(len(s) - quality.ORDER + 1)]
+        assert len(want) == size and np.isclose(x, sum(want), rtol=1e-3, atol=1e-3)
+
+
+@pytest.mark.parametrize("head_words", [0, 20, 1 << 18])
+def test_document_sums_equal_a_plain_two_level_model(spark, monkeypatch, head_words):
+    """However many words are sent and however many joined; a trusted text's own
+    words are taken off the counts; copies, repeated rows, null ids and texts."""
+    from collections import Counter
+
+    monkeypatch.setattr(quality, "HEAD_WORDS", head_words)
+    monkeypatch.setattr(quality, "PART_CHARS", 500)
+    monkeypatch.setattr(quality, "REMEMBERED", 100)
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars between 60 and 900").orderBy("doc_id").limit(30).collect()
+    docs = [(r.doc_id, r.text, r.lang) for r in rows]
+    docs += [docs[0], docs[0], (9_001, docs[0][1], "en"), (9_002, docs[20][1], None), (None, docs[1][1], "en"),
+             (9_003, None, "en"), (9_004, "", "en"), (9_005, "y" * 90, "en")]
+    trusted = {r.doc_id for r in rows[:15]} | {9_001}
+    counts = Counter()
+    for d, t, _ in docs:
+        if d in trusted:
+            counts.update(quality.WORD.findall(t))
+    orders = quality.fit(spark.createDataFrame([(w,) for w in counts], "word string"))
+    nll, table = quality.log_probabilities(orders), quality.symbol_classes()
+    d = PlainKneserNey.discounts(counts)
+    total = sum(counts.values())
+    rest = sum(d[min(c, 3)] for c in counts.values()) / total
+
+    def plain(doc, text):
+        own = Counter(quality.WORD.findall(text or ""))
+        x = n_symbols = 0.0
+        for w, n in own.items():
+            spell, size = quality.spelled([w], nll, table)
+            c = max(counts[w] - (n if doc in trusted else 0), 0)
+            x -= n * np.log((c - d[min(c, 3)]) / total + rest * np.exp(-spell[0]))
+            n_symbols += n * size[0]
+        return n_symbols, x
+
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    got = quality.judge(df, ids).selectExpr("doc_id", "text", "lang", "quality.n_symbols", "quality.perplexity").collect()
+    assert sorted(str((r.doc_id, r.text, r.lang)) for r in got) == sorted(map(str, docs))
+    for r in got:
+        n_symbols, x = plain(r.doc_id, r.text)
+        assert r.n_symbols == n_symbols
+        assert (r.perplexity is None) if not n_symbols else np.isclose(np.log(r.perplexity), x / n_symbols, rtol=1e-6)
 
 
 def test_limits_move_smoothly_with_the_number_of_labels(spark, monkeypatch):
