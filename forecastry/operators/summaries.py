@@ -8,7 +8,7 @@ all three, :func:`sales_cube` computes them as grouping sets of one pass and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecastry.functions.calendar import month_start
@@ -65,18 +65,23 @@ def monthly_spine(df: DataFrame, key: str | None = None) -> DataFrame:
     """C1 with no gaps: every month from the first to the last with a date (of
     each ``key``, if given), total 0 where nothing was sold.
 
-    Months come from a sequence between the bounds, as long as the calendar; they
-    meet the totals in one more partial aggregate.  Undated rows take no part;
-    a month with rows but no sales known is 0, too."""
+    The totals are sorted in ranges of ``key``; each month gives itself and the
+    empty months up to the next one, in order.  So no task sorts or holds more
+    than totals, whatever the gaps.  Undated rows take no part; a month with rows
+    but no sales known is 0, too."""
     by = [key] if key else []
-    dated = df.where(F.col("date").isNotNull()).withColumn("month_start", F.trunc("date", "month"))
-    totals = dated.groupBy(*by, "month_start").agg(F.sum("sales").alias("total_sales"))
-    bounds = totals.groupBy(*by).agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi")).where("lo is not null")
-    months = bounds.select(*by, F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month_start"), F.lit(0.0).alias("total_sales"))
-    return (
-        totals.unionByName(months).groupBy(*by, "month_start").agg(F.sum("total_sales").alias("total_sales"))
-        .select(*by, F.year("month_start").alias("year"), F.month("month_start").alias("month"), "month_start", "total_sales")
-        .orderBy(*by, "month_start")
+    dated = df.where(F.col("date").isNotNull()).withColumn("_month", F.trunc("date", "month"))
+    totals = dated.groupBy(*by, "_month").agg((F.coalesce(F.sum("sales"), F.lit(0)) + F.lit(0.0)).alias("_total"))
+    if by:
+        totals = totals.repartitionByRange(key).sortWithinPartitions(key, "_month")
+    following = F.lead("_month").over(Window.partitionBy(*by).orderBy("_month"))
+    until = F.coalesce(F.add_months(following, -1), F.col("_month"))
+    spine = totals.withColumn("_until", until).select(
+        *by, "_month", "_total", F.explode(F.sequence("_month", "_until", F.expr("interval 1 month"))).alias("month_start")
+    )
+    return spine.select(
+        *by, F.year("month_start").alias("year"), F.month("month_start").alias("month"), "month_start",
+        F.when(F.col("month_start") == F.col("_month"), F.col("_total")).otherwise(F.lit(0.0)).alias("total_sales"),
     )
 
 

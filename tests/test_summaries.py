@@ -66,3 +66,16 @@ def test_monthly_spine_fills_gaps(spark):
     whole = summaries.monthly_spine(df).collect()
     assert len(whole) == 14 and sum(r["total_sales"] for r in whole) == 6.0
     assert summaries.monthly_spine(df.limit(0)).count() == 0
+
+
+def test_spine_sorts_totals_before_the_gaps(spark):
+    """Months without sales are made after the one sort, in order: no task sorts
+    or adds up the whole axis."""
+    rows = [(k % 7, f"{1900 + 40 * (k % 3)}-0{1 + k % 2}-05", float(k)) for k in range(100)]
+    df = spark.createDataFrame(rows, "item int, day string, sales float").selectExpr("item", "date(day) AS date", "sales")
+    out = summaries.monthly_spine(df, "item")
+    plan = plan_text(out)
+    assert "Generate" in plan.split("Sort")[0] and "Union" not in plan
+    got = [(r["item"], r["month_start"]) for r in out.collect()]
+    assert got == sorted(set(got)) and len(got) > 7 * 900
+    assert sum(r["total_sales"] for r in out.collect()) == sum(range(100))
