@@ -31,7 +31,6 @@ PIECES_PER_PARTITION = 16
 #: Rows of a piece at least: smaller ones are not worth a halo.
 LEAST_ROWS = 10_000
 SAMPLES_PER_PIECE = 8
-CUTS_PER_GROUP = 32
 
 
 def series_window():
@@ -122,7 +121,7 @@ def _in_spark_order(row) -> tuple:
 def series_cuts(df: DataFrame, pieces: int, least_rows: int) -> list[tuple]:
     """(store, item, cuts) of every series with more than 1 / ``pieces`` of all
     rows: fewer than ``pieces`` series.  Cuts are quantiles of a random sample of
-    ``SAMPLES_PER_PIECE`` rows a piece, sorted, in groups of ``CUTS_PER_GROUP``."""
+    ``SAMPLES_PER_PIECE`` rows a piece, sorted."""
     sizes = df.groupBy("store", "item").agg(F.count(F.lit(1)).alias("n"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     long = sizes.where((F.col("n") * pieces > total) & (F.col("n") > least_rows)).withColumn("total", total).collect()
@@ -143,7 +142,7 @@ def series_cuts(df: DataFrame, pieces: int, least_rows: int) -> list[tuple]:
         k = max(2, math.ceil(min(r["n"] * pieces / r["total"], r["n"] / max(1, least_rows))))
         cuts = list(dict.fromkeys(rows[len(rows) * j // k] for j in range(1, k))) if rows else []
         if cuts:
-            out.append((r["store"], r["item"], [cuts[j : j + CUTS_PER_GROUP] for j in range(0, len(cuts), CUTS_PER_GROUP)]))
+            out.append((r["store"], r["item"], cuts))
     return out
 
 
@@ -157,16 +156,19 @@ def series_chunks(df: DataFrame, pieces: int | None = None, least_rows: int = LE
     cuts = series_cuts(df, pieces, least_rows)
     if not cuts:
         return None
+    levels = max(len(c) for *_, c in cuts).bit_length()
     key = ", ".join(f"`_{f.name}` {f.dataType.simpleString()}" for f in df.select("store", "item").schema)
     order = ", ".join(f"{c}: {df.schema[c].dataType.simpleString()}" for c in ("date", "sales"))
-    table = df.sparkSession.createDataFrame(cuts, f"{key}, _cuts array<array<struct<{order}, tie: bigint>>>")
-    at, of = _row_order(df), F.col("_cuts")
-    group = F.size(F.filter(of, lambda g: g[0] <= at))
-    within = F.size(F.filter(F.get(of, group - 1), lambda c: c <= at))
-    chunk = F.when(of.isNull() | (group == 0), 0).otherwise((group - 1) * CUTS_PER_GROUP + within)
+    table = df.sparkSession.createDataFrame(cuts, f"{key}, _cuts array<struct<{order}, tie: bigint>>")
     same = F.col("store").eqNullSafe(F.col("_store")) & F.col("item").eqNullSafe(F.col("_item"))
     # at most `pieces` series and two cuts a piece
-    return df.join(F.broadcast(table), same, "left").withColumn("_chunk", chunk).drop("_store", "_item")
+    rows = df.join(F.broadcast(table), same, "left").withColumns({
+        "_at": F.when(F.col("_cuts").isNotNull(), _row_order(df)), "_chunk": F.lit(0),
+    })
+    for step in (1 << k for k in reversed(range(levels))):  # a binary search
+        reached = F.get("_cuts", F.col("_chunk") + (step - 1)) <= F.col("_at")
+        rows = rows.withColumn("_chunk", F.col("_chunk") + F.when(reached, step).otherwise(0))
+    return rows.select(*df.columns, "_cuts", "_chunk")
 
 
 def demand_features_ranged(df: DataFrame, pieces: int, leak_free: bool = False) -> DataFrame:

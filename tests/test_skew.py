@@ -118,3 +118,15 @@ def test_cuts_order_nulls_and_nan_as_spark_does(spark):
     bounds = chunks.groupBy("_chunk").agg(F.min(features._row_order(df)).alias("lo"), F.max(features._row_order(df)).alias("hi"))
     got = [x for r in bounds.orderBy("_chunk").collect() for x in (tuple(r["lo"]), tuple(r["hi"]))]
     assert len(got) > 8 and sorted(got, key=features._in_spark_order) == got
+
+
+def test_a_rows_chunk_is_found_by_halves(spark):
+    """The chunk is the number of cuts up to the row, and no row looks at all cuts."""
+    df = settled(spark.range(5000).selectExpr("1 AS store", "1 AS item", "date_add(date'2000-01-01', int(id % 700)) AS date", "float(id % 11) AS sales", "id"))
+    (_, _, cuts), = features.series_cuts(df, 64, 1)
+    chunks = features.series_chunks(df, 64, 1)
+    assert "lambda" not in plan_text(chunks)
+    rows = chunks.select(features._row_order(df).alias("at"), "_chunk").collect()
+    cuts = [features._in_spark_order(tuple(c)) for c in cuts]
+    assert all(r["_chunk"] == sum(c <= features._in_spark_order(tuple(r["at"])) for c in cuts) for r in rows)
+    assert len({r["_chunk"] for r in rows}) == len(cuts) + 1 > 50
