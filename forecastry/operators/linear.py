@@ -13,11 +13,14 @@ Rows with a null or NaN feature or label take no part.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from decimal import Decimal, localcontext
 from fractions import Fraction
 from itertools import combinations_with_replacement
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,9 @@ from forecastry.schema import FEATURE_COLUMNS
 
 CONSTANT, LABEL = "intercept", "label"
 PRODUCT = "decimal(36,12)"
+LARGEST = 1e24
+#: Rows whose integers add up in 64 bits, whatever their values.
+SUMMED_AT_ONCE = 8192
 #: A feature is dropped if the chosen ones leave less than this share of its
 #: variance, or if its variance is less than this share of its mean square.
 LEAST_SHARE = 1e-10
@@ -57,13 +63,45 @@ def complete_rows(df: DataFrame, features=FEATURE_COLUMNS, label: str = "sales")
     return df.where(ok)
 
 
+def _sums_of_products(batches: Iterator[pa.RecordBatch], pairs: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Per pair of columns, the exact sum of a task's products, each rounded to
+    12 decimals: a product is its multiple of 2**32, the whole rest and the
+    fraction in units of 1e-12, which are summed as integers."""
+    sums = [0] * len(pairs)
+    for batch in (b.slice(at, SUMMED_AT_ONCE) for b in batches for at in range(0, b.num_rows, SUMMED_AT_ONCE)):
+        columns = [np.asarray(c) for c in batch.columns]
+        for k, (i, j) in enumerate(pairs):
+            with np.errstate(over="ignore", invalid="ignore"):
+                p = columns[i] * columns[j]
+            if not np.isfinite(p).all():
+                p = p[np.isfinite(p)]
+            if len(p) and np.abs(p).max() >= LARGEST:
+                raise OverflowError(f"a product of 1e24 or more does not fit into {PRODUCT}")
+            high = np.trunc(p / 2.0**32)
+            p = p - high * 2.0**32
+            low = np.trunc(p)
+            units = np.rint((p - low) * 1e12)
+            for part, unit in ((high, 10**12 << 32), (low, 10**12), (units, 1)):
+                sums[k] += int(part.astype(np.int64).sum()) * unit
+    with localcontext(prec=60):
+        values = [pa.array([Decimal(s).scaleb(-12)], pa.decimal128(38, 12)) for s in sums]
+    yield pa.RecordBatch.from_arrays(values, names=[f"s{k}" for k in range(len(sums))])
+
+
 def gram(df: DataFrame, features=FEATURE_COLUMNS, label: str = "sales") -> DataFrame:
     """One (a, b, total) row per pair: the sum of the products of two features,
-    or of a feature and the label; no row's order or partition matters."""
+    or of a feature and the label; no row's order or partition matters.
+
+    A task adds up its rows by arrays and gives one row of exact sums."""
     pairs = _pairs(features)
-    sums = complete_rows(df, features, label).agg(*[
-        F.coalesce(F.sum((_value(a, label) * _value(b, label)).cast(PRODUCT)), F.lit(0).cast("decimal(38,12)")).alias(f"s{k}")
-        for k, (a, b) in enumerate(pairs)
+    names = [CONSTANT, *features, LABEL]
+    places = [(names.index(a), names.index(b)) for a, b in pairs]
+    values = complete_rows(df, features, label).select(*[_value(c, label).alias(f"v{i}") for i, c in enumerate(names)])
+    of_tasks = values.mapInArrow(
+        lambda batches: _sums_of_products(batches, places), ", ".join(f"s{k} decimal(38,12)" for k in range(len(pairs)))
+    )
+    sums = of_tasks.agg(*[
+        F.coalesce(F.sum(f"s{k}"), F.lit(0)).cast("decimal(38,12)").alias(f"s{k}") for k in range(len(pairs))
     ])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"s{k}").alias("total")) for k, (a, b) in enumerate(pairs)]
     return sums.select(F.inline(F.array(*rows)))

@@ -14,6 +14,7 @@ from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressionM
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecastry.functions.vectors import vector_to_list
 from forecastry.operators import clean, features, linear, model, profile, scale, split, status, summaries
 from forecastry.schema import FEATURE_COLUMNS, INGEST_SPLIT, KEY_COLUMNS, LABEL_COLUMN, MODEL_SPLIT, RAW_COLUMNS, SEED, TOP_ITEMS
 from forecastry.session import scratch_path, settled
@@ -373,8 +374,9 @@ def linear_check(spark, sf):
     fitted, path = model.fit_linear(vectors), scratch_path(spark, "linear")
     save_model(fitted, path)
     again = LinearRegressionModel.load(path).setPredictionCol("reloaded")
-    own = linear.predict(test, linear.fit(train), "own").select(*KEY_COLUMNS, "own")
-    rows = again.transform(fitted.transform(model.assemble(test, keep_keys=True))).join(own, list(KEY_COLUMNS))
+    held_out, x = model.assemble(test), vector_to_list("features")
+    own = linear.predict(held_out.withColumns({c: x[i] for i, c in enumerate(FEATURE_COLUMNS)}), linear.fit(train), "own")
+    rows = again.transform(fitted.transform(own))
     label, p = F.col(LABEL_COLUMN).cast("double"), F.col("prediction")
     out = rows.agg(
         F.count(F.lit(1)).alias("n_test"),

@@ -1,14 +1,17 @@
 """Least squares from one aggregate, on any rank."""
 
+from decimal import Context, Decimal, localcontext
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from forecastry.operators import clean, features, linear, model
+from forecastry.plans import queries
 from forecastry.schema import FEATURE_COLUMNS
 from forecastry.session import materialize
 from forecastry.sources import tables
-from conftest import SMOKE
+from conftest import SMOKE, plan_text
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +71,34 @@ def test_pivoted_cholesky_stops_at_the_rank():
     x = r.normal(size=(50, 3)) @ r.normal(size=(3, 6))
     assert len(linear.pivoted_cholesky(np.corrcoef(x.T))) == 3
     assert linear.pivoted_cholesky(np.eye(4)) == [0, 1, 2, 3]
+
+
+def test_sums_are_exact_for_large_and_small_products(spark):
+    """Far more digits than a double has, both signs; infinite products give nothing."""
+    rows = [(3.0e9, 7.0), (-2.5e9, 0.001), (0.1, -0.3), (123456.789, 1e-6), (float("inf"), 2.0), (0.0, 0.0)] * 2000
+    df = spark.createDataFrame(rows, "a double, sales double")
+    got = {(r["a"], r["b"]): r["total"] for r in linear.gram(df.repartition(5), ["a"]).collect()}
+    assert got == {(r["a"], r["b"]): r["total"] for r in linear.gram(df, ["a"]).collect()}
+
+    def product(x, y):
+        p = x * y
+        return Decimal(p).quantize(Decimal("1e-12"), context=Context(prec=60)) if np.isfinite(p) else 0
+
+    with localcontext(prec=60):
+        assert got["a", "a"] == sum(product(x, x) for x, _ in rows)
+        assert got["a", "label"] == sum(product(x, y) for x, y in rows)
+    with pytest.raises(Exception, match="1e\\+24|1e24"):
+        linear.gram(df.withColumn("a", F.lit(1e13)), ["a"]).collect()
+    assert all(r["total"] == 0 for r in linear.gram(df.limit(0), ["a"]).collect())
+
+
+def test_a_task_adds_up_its_rows(feats):
+    assert "MapInArrow" in plan_text(linear.gram(feats))
+
+
+def test_linear_check_joins_nothing(spark, monkeypatch):
+    monkeypatch.setattr(queries, "settled", lambda df, *paths: df)
+    out = queries.linear_check(spark, SMOKE)
+    assert "Join" not in plan_text(out)
+    row = out.first()
+    assert row["n_test"] > 1000 and row["rmse_below_deviation"] and row["changed_by_reload"] == row["off_the_aggregate"] == 0
