@@ -116,3 +116,37 @@ def test_null_feature_fails_unless_skipped(spark):
     with pytest.raises(Exception):
         model.assemble(df).collect()
     assert model.assemble(df, handle_invalid="skip").count() == 0
+
+
+def test_large_forest_is_one_forest_in_bounded_parts(data, monkeypatch):
+    """Past ``BAGS_MB``: no node ids kept, a few trees at a time, tasks of at most
+    so many rows; all trees are in one model that can be saved and used."""
+    train, test = data
+    seen = []
+
+    class Watched(model.RandomForestRegressor):
+        def fit(self, rows):
+            sizes = [len(p) for p in rows.rdd.glom().collect()]
+            seen.append((self.getNumTrees(), self.getSeed(), self.getCacheNodeIds(), max(sizes), sum(sizes), len(rows.first()["features"])))
+            return super().fit(rows)
+
+    monkeypatch.setattr(model, "RandomForestRegressor", Watched)
+    monkeypatch.setattr(model, "BAGS_MB", 0)
+    monkeypatch.setattr(model, "ROWS_PER_TASK", 300)
+    monkeypatch.setattr(model, "FILE_SPLIT", "1k")
+    monkeypatch.setattr(model, "TREES_AT_A_TIME", 20)
+    rf = model.fit_forest(train, "light")
+    n = train.count()
+    assert [s[:3] for s in seen] == [(20, 42, False), (20, 43, False), (10, 44, False)]
+    assert all(most <= 300 and rows == n and width == len(FEATURE_COLUMNS) for *_, most, rows, width in seen)
+    assert rf.getNumTrees == 50 == len(rf.trees) and rf.numFeatures == len(FEATURE_COLUMNS)
+    assert len({t.toDebugString.split("\n", 1)[1] for t in rf.trees}) > 45  # the parts' bags differ
+    plain = rf.transform(test).select("prediction").collect()
+    by_tree = [t.predict(test.first()["features"]) for t in rf.trees]
+    assert plain[0][0] == pytest.approx(sum(by_tree) / 50)
+    sd = test.agg(F.stddev_pop("label")).first()[0]
+    assert model.rmse(rf.transform(test)).first()["rmse"] < sd
+    p = os.path.join(tempfile.mkdtemp(prefix="fc-models-"), "forest")
+    save_model(rf, p)
+    again = load_model("forest", p)
+    assert again.getNumTrees == 50 and again.transform(test).select("prediction").collect() == plain
