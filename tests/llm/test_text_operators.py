@@ -312,6 +312,44 @@ def test_document_sums_equal_a_plain_two_level_model(spark, monkeypatch, head_wo
         assert (r.perplexity is None) if not n_symbols else np.isclose(np.log(r.perplexity), x / n_symbols, rtol=1e-6)
 
 
+def test_every_word_gets_its_count_by_the_join(spark, monkeypatch):
+    """No counts are sent to the tasks; a chunk asks for each of its words once, the
+    frequent ones too, and gets its count."""
+    from collections import Counter
+
+    from pyspark import SparkContext
+
+    texts = [f"the cat {i} the end" if i % 3 else "" for i in range(40)] + ["the the Ärger", None, "only here"]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").coalesce(2)
+    ids = spark.range(0, 41).withColumnRenamed("id", "doc_id")
+    sent, send = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(value) or send(self, value))
+    monkeypatch.setattr(quality, "PART_CHARS", 100)
+    monkeypatch.setattr(quality, "SHARD_WORDS", 5)
+    assert quality.judge(df, ids).count() == len(texts)
+    # the spelling's arrays, and the bits of the trusted ids
+    arrays = [a for value in sent for part in (value if isinstance(value, list) else [value]) for a in (part if isinstance(part, tuple) else [part])]
+    assert all(isinstance(a, np.ndarray) and a.dtype.kind in "iuf" for a in arrays)
+
+    keyed = df.selectExpr("1L AS k1", "2 AS k2", "doc_id", "text", "lang")
+    chunks = quality.in_chunks(keyed, 4).persist()
+    heads = {}
+    for r in chunks.where("words IS NOT NULL").orderBy("shard").collect():
+        heads.setdefault(r.chunk, []).extend(quality.from_words(r.words))
+    assert len(heads) > 3 and all(len(set(words)) == len(words) for words in heads.values())
+    counts = Counter(w for t in texts[:41] for w in quality.WORD.findall(t))
+    table = spark.createDataFrame(list(counts.items()), "word string, c long")
+    spelling = spark.sparkContext.broadcast(quality.fit(table))
+    found = {}
+    for r in quality.word_values(chunks, quality.in_shards(table, 4), spelling, quality.upper_level(table)).orderBy("shard").collect():
+        found.setdefault(r.chunk, []).extend(quality.from_planes(r.found, "<i8", "<f8", "<i4")[0].tolist())
+    assert found == {chunk: [counts[w] for w in words] for chunk, words in heads.items()}
+    for r in chunks.where("own IS NOT NULL").collect():
+        places, times = quality.from_places(r.own)
+        own = {heads[r.chunk][k]: n for k, n in zip(places.tolist(), times.tolist())}
+        assert own == Counter(quality.WORD.findall(texts[r.doc_id] or ""))
+
+
 def test_limits_move_smoothly_with_the_number_of_labels(spark, monkeypatch):
     """One more trusted document never turns the rule of a language over."""
     r = np.random.RandomState(5)
