@@ -350,6 +350,63 @@ def test_every_word_gets_its_count_by_the_join(spark, monkeypatch):
         assert own == Counter(quality.WORD.findall(texts[r.doc_id] or ""))
 
 
+def test_pairs_of_words_equal_a_plain_kneser_ney(spark, monkeypatch):
+    """A word after the word before it: pairs by their counts, words by the different
+    words before them, then spelling; a trusted text's own pairs are taken off."""
+    from collections import Counter
+
+    monkeypatch.setattr(quality, "PART_CHARS", 500)
+    monkeypatch.setattr(quality, "SHARD_WORDS", 20)
+    monkeypatch.setattr(quality, "SHARD_TOKENS", 100)
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars between 60 and 900").orderBy("doc_id").limit(30).collect()
+    turned = " ".join(reversed(rows[0].text.split(" ")))
+    docs = [(r.doc_id, r.text, r.lang) for r in rows]
+    docs += [docs[0], (9_001, docs[0][1], "en"), (9_002, docs[20][1], None), (None, docs[1][1], "en"), (9_003, None, "en"),
+             (9_004, "", "en"), (9_005, "y" * 90, "en"), (9_006, turned, "en"), (9_007, "no no no no", "en"), (9_008, "no no no", "en")]
+    trusted = {r.doc_id for r in rows[:15]} | {9_001, 9_003, 9_007}
+
+    def pairs_of(text):
+        words = quality.WORD.findall(text or "")
+        return Counter(zip([None, *words], words))
+
+    pairs = Counter()
+    for d, t, _ in docs:
+        if d in trusted:
+            pairs.update(pairs_of(t))
+    orders = quality.fit(spark.createDataFrame(sorted({(w,) for _, w in pairs}), "word string"))
+    nll, table = quality.log_probabilities(orders), quality.symbol_classes()
+    d_pair, d_word = PlainKneserNey.discounts(pairs), PlainKneserNey.discounts(Counter(w for _, w in pairs))
+
+    def plain(doc, text):
+        own = pairs_of(text)
+        left = pairs - own if doc in trusted else pairs
+        before, total, off = Counter(w for _, w in left), Counter(), Counter()
+        for (v, _), c in left.items():
+            total[v] += c
+            off[v] += d_pair[min(c, 3)]
+        rest, x = sum(d_word[min(c, 3)] for c in before.values()) / len(left), 0.0
+        for (v, w), n in own.items():
+            p = rest * np.exp(-quality.spelled([w], nll, table)[0][0])
+            if before[w]:
+                p += (before[w] - d_word[min(before[w], 3)]) / len(left)
+            if total[v]:
+                c = left[v, w]
+                p = (c - d_pair[min(c, 3)]) / total[v] + off[v] / total[v] * p
+            x -= n * np.log(p)
+        return x
+
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    got = quality.judge(df, ids).selectExpr("doc_id", "text", "quality.*").collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r.pair_perplexity is None) if not r.n_symbols else np.isclose(
+            np.log(r.pair_perplexity) * r.n_symbols, plain(r.doc_id, r.text), rtol=1e-6), r.doc_id
+    of = {r.doc_id: r for r in got}
+    copy, back = of[9_001], of[9_006]  # the same words but for their order
+    assert back.pair_perplexity > 1.2 * copy.pair_perplexity
+
+
 def test_limits_move_smoothly_with_the_number_of_labels(spark, monkeypatch):
     """One more trusted document never turns the rule of a language over."""
     r = np.random.RandomState(5)
